@@ -1,16 +1,21 @@
-"""JSON text columns: arrays of objects and scalar values."""
+"""JSON text columns: arrays of objects and scalar values.
+
+The arguments are SQL names or expressions, so that each helper is one expression
+for the planner rather than a tree built call by call from Python.
+"""
 
 from pyspark.sql import functions as F
 
 
 def scalar(text):
     """Scalar JSON value as text; objects and arrays give NULL."""
-    return F.when(~(text.startswith("{") | text.startswith("[")), text)
+    nested = f"startswith({text}, '{{') OR startswith({text}, '[')"
+    return F.expr(f"CASE WHEN NOT ({nested}) THEN {text} END")
 
 
 def scalar_at(json_text, path):
     """Scalar at ``path`` in a JSON text column; NULL if missing, null or nested."""
-    return scalar(F.get_json_object(json_text, path))
+    return scalar(f"get_json_object({json_text}, '{path}')")
 
 
 def elements(json_text, element):
@@ -20,10 +25,11 @@ def elements(json_text, element):
     such an array is parsed again element by element.  ``coalesce`` is lazy: the
     second pass costs nothing on well-formed rows.
     """
-    whole = F.from_json(json_text, f"ARRAY<{element}>")
-    one_by_one = F.transform(
-        F.from_json(json_text, "ARRAY<STRING>"),
-        lambda item: F.when(F.ltrim(item).startswith("{"), F.from_json(item, element)),
+    whole = f"from_json({json_text}, 'ARRAY<{element}>')"
+    one_by_one = (
+        f"transform(from_json({json_text}, 'ARRAY<STRING>'), item -> "
+        f"CASE WHEN startswith(ltrim(item), '{{') THEN from_json(item, '{element}') END)"
+    )
+    return F.expr(
+        f"CASE WHEN startswith(ltrim({json_text}), '[') THEN coalesce({whole}, {one_by_one}) END"
     )
-    return F.when(F.ltrim(json_text).startswith("["), F.coalesce(whole, one_by_one))
-

@@ -5,22 +5,20 @@ from pyspark.sql import functions as F
 from coffer.schemas import GRAIN
 
 
-def key_text(*columns):
+def key_text(*names):
     """Unambiguous text of a composite key with NULLs.
 
     Each part is prefixed by its length, so no value can imitate a separator,
     and NULL differs from every text.
     """
-    texts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in columns]
-    parts = [
-        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts
-    ]
-    return F.concat_ws("|", *parts)
+    texts = [f"CAST({name} AS STRING)" for name in names]
+    parts = [f"coalesce(concat(length({t}), ':', {t}), 'n')" for t in texts]
+    return F.expr(f"concat_ws('|', {', '.join(parts)})")
 
 
-def entry_id(*columns):
+def entry_id(*names):
     """Reproducible id of a fact row: hash of its grain, stable under task retries."""
-    return F.md5(key_text(*(columns or GRAIN)))
+    return F.md5(key_text(*(names or GRAIN)))
 
 
 def random_entry_id():

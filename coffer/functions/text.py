@@ -18,9 +18,11 @@ MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "o
 
 
 def budget_cell(text, amount_type="double"):
-    """Number in a spreadsheet cell: ``1,234`` is a number, ``-`` and junk are NULL."""
-    bare = F.nullif(F.replace(text, F.lit(","), F.lit("")), F.lit("-"))
-    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast(amount_type))
+    """Number in the named cell: ``1,234`` is a number, ``-`` and junk are NULL."""
+    bare = f"nullif(replace({text}, ',', ''), '-')"
+    return F.expr(
+        f"CASE WHEN {bare} RLIKE r'{NUMBER_PATTERN}' THEN try_cast({bare} AS {amount_type}) END"
+    )
 
 
 def path_head(path):

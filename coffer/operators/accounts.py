@@ -40,7 +40,7 @@ def account_dim(accounts):
         F.col("Classification").alias("classification"),
         F.col("AccountType").alias("account_type"),
         F.coalesce("SubAccount", F.lit(False)).alias("is_sub"),
-        scalar_at(F.col("ParentRef"), "$.value").alias("parent_id"),
+        scalar_at("ParentRef", "$.value").alias("parent_id"),
     )
     parent = base.select(
         CLIENT,
@@ -78,7 +78,7 @@ def resolve_items(items, dim):
     refs = items.select(
         CLIENT,
         F.col("Id").alias("item_id"),
-        scalar_at(F.col("IncomeAccountRef"), "$.value").alias("account_id"),
+        scalar_at("IncomeAccountRef", "$.value").alias("account_id"),
     )
     return refs.join(dim, [CLIENT, "account_id"])
 

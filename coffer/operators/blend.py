@@ -68,33 +68,53 @@ def blend_refresh(previous, pnl, budget, comments, mode="intended"):
 
 
 def _refresh_intended(previous, facts, comments):
-    """Left join for the ids; semi and anti join for commented rows that vanished.
-
-    Ids are matched on one hash of the whole grain, NULLs included, so a null-safe
-    seven-column match is an ordinary equi-join.  Should a previous version from
-    elsewhere repeat a grain, its smallest id carries the amounts, so nothing is
-    counted twice, and its other ids stay as zero rows if commented.
-
-    The set of commented rows is small next to the facts: the semi join can
-    broadcast it and leaves the facts where they are.
+    """One full outer join tells carried, new and vanished rows apart.
+
+    It runs on one hash of the whole grain, NULLs included, so the null-safe
+    seven-column match is an ordinary equi-join, and reads the facts once.  Each
+    grain then lists the ids it needs: the one its amounts go to, and those under
+    comments, which stay as zero rows.  That is one id per grain, unless a previous
+    version from elsewhere repeats a grain: its smallest id carries the amounts, so
+    nothing counts twice, and no comment is left without its row.
     """
-    ids = previous.groupBy(entry_id().alias("row_key")).agg(F.min("entry_id").alias("old_id"))
-    active = (
-        facts.withColumn("row_key", entry_id())
-        .join(ids, "row_key", "left")
-        .withColumn("entry_id", F.coalesce("old_id", "row_key"))
-        .withColumn("last_refreshed", F.current_timestamp())
-        .select(*BLEND_COLUMNS)
-    )
-    entry = [CLIENT, "entry_id"]
-    commented = (
+    commented = comments.select(CLIENT, "entry_id").distinct().withColumn("commented", F.lit(True))
+    old = (
         previous.select("entry_id", *GRAIN, "last_refreshed")
-        .join(comments.select(*entry).distinct(), entry, "left_semi")
-        .dropDuplicates(entry)
+        .join(commented, [CLIENT, "entry_id"], "left")
+        .groupBy(entry_id().alias("row_key"))
+        .agg(
+            # Only rows under comments can be needed without a new fact.
+            *[F.any_value(F.when(F.col("commented"), F.col(n)), F.lit(True)).alias(f"old_{n}") for n in GRAIN],
+            F.min("entry_id").alias("old_id"),
+            F.collect_set(F.when(F.col("commented"), F.col("entry_id"))).alias("commented_ids"),
+            F.max("last_refreshed").alias("old_refreshed"),
+        )
+    )
+    new = facts.withColumn("row_key", entry_id()).withColumn("is_new", F.lit(True))
+    is_new = F.col("is_new").isNotNull()
+    active_id = F.when(is_new, F.coalesce("old_id", "row_key"))
+    none = F.array().cast("array<string>")
+    ids = F.array_union(
+        F.when(is_new, F.array(active_id)).otherwise(none), F.coalesce("commented_ids", none)
+    )
+    rows = new.join(old, "row_key", "full_outer").select(
+        F.explode(ids).alias("entry_id"),
+        active_id.alias("active_id"),
+        *[F.when(is_new, F.col(n)).otherwise(F.col(f"old_{n}")).alias(n) for n in GRAIN],
+        "actual",
+        "budget_amount",
+        "old_refreshed",
+    )
+    carries = F.col("entry_id").eqNullSafe(F.col("active_id"))
+    return rows.select(
+        "entry_id",
+        *GRAIN,
+        F.when(carries, F.col("actual")).otherwise(F.lit(0)).alias("actual"),
+        F.when(carries, F.col("budget_amount")).otherwise(F.lit(0)).alias("budget_amount"),
+        F.when(carries, F.current_timestamp()).otherwise(F.col("old_refreshed")).alias(
+            "last_refreshed"
+        ),
     )
-    live = active.select(*entry).join(commented.select(*entry), entry, "left_semi")
-    vanished = commented.join(live, entry, "left_anti")
-    return active.unionByName(_zeroed(vanished))
 
 
 def _zeroed(rows):

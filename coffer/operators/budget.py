@@ -22,7 +22,7 @@ def stage_budget(sheet, start="2025-01", n_months=36, amount_type="double"):
     """Named columns from a positional sheet: account path split, cells as numbers."""
     path = F.col("string_field_1")
     months = [
-        budget_cell(F.col(f"string_field_{FIRST_MONTH_FIELD + i}"), amount_type).alias(label)
+        budget_cell(f"string_field_{FIRST_MONTH_FIELD + i}", amount_type).alias(label)
         for i, label in enumerate(month_labels(start, n_months))
     ]
     return sheet.select(
@@ -56,7 +56,7 @@ def budget_accounts(accounts):
         F.col("Name").alias("account_name"),
         F.col("Classification").alias("classification"),
         F.col("AccountType").alias("account_type"),
-        scalar_at(F.col("ParentRef"), "$.value").alias("parent_id"),
+        scalar_at("ParentRef", "$.value").alias("parent_id"),
     )
     parent = base.select(
         CLIENT, F.col("account_id").alias("parent_id"), F.col("account_name").alias("parent_name")

@@ -16,7 +16,7 @@ LINE_COLUMNS = (CLIENT, "source", "posting", "txnDate", "ref_kind", "ref_id", "a
 
 def parsed_lines(table):
     """The ``Line`` column of ``table`` as an array of structs."""
-    return elements(F.col("Line"), LINE_ELEMENTS[table])
+    return elements("Line", LINE_ELEMENTS[table])
 
 
 def explode_lines(df, table, *keep):
@@ -26,7 +26,7 @@ def explode_lines(df, table, *keep):
 
 def _reference(df, field):
     """Add ``ref_id`` from ``line.<field>.value``, keeping lines that have one."""
-    return df.withColumn("ref_id", scalar(F.col(f"line.{field}.value"))).filter(
+    return df.withColumn("ref_id", scalar(f"line.{field}.value")).filter(
         F.col("ref_id").isNotNull()
     )
 
@@ -45,7 +45,7 @@ def _rows(df, source, ref_kind, amount, posting=None):
 
 
 def _line_amount(ledger):
-    return scalar(F.col("line.Amount")).cast(ledger.amount_type)
+    return scalar("line.Amount").cast(ledger.amount_type)
 
 
 def _date():
@@ -69,7 +69,7 @@ def journal_lines(ledger):
     table = "journal_entries"
     lines = explode_lines(ledger.table(table), table, CLIENT, _date())
     lines = _reference(lines, "JournalEntryLineDetail.AccountRef")
-    posting = scalar(F.col("line.JournalEntryLineDetail.PostingType"))
+    posting = scalar("line.JournalEntryLineDetail.PostingType")
     return _rows(lines, table, ACCOUNT, _line_amount(ledger), posting)
 
 
@@ -81,16 +81,20 @@ def sales_receipt_lines(ledger):
 
 
 def linked_payments(ledger, table):
-    """Paid amount, as text, and document of each payment: first line, first link."""
-    first = F.get(parsed_lines(table), F.lit(0))
+    """Paid amount, as text, and document of each payment: first line, first link.
+
+    The first line comes out of an explode of a one-element slice: filters on what
+    was parsed cannot sink below it, where they would parse each payment again.
+    """
+    first = F.explode(F.slice(parsed_lines(table), 1, 1)).alias("first")
     return (
         ledger.table(table)
-        .select(CLIENT, "txnDate", first.alias("first"))
+        .select(CLIENT, "txnDate", first)
         .select(
             CLIENT,
             "txnDate",
-            scalar(F.get(F.col("first.LinkedTxn"), F.lit(0))["TxnId"]).alias("document_id"),
-            scalar(F.col("first.Amount")).alias("paid"),
+            scalar("get(first.LinkedTxn, 0).TxnId").alias("document_id"),
+            scalar("first.Amount").alias("paid"),
         )
         .filter(F.col("document_id").isNotNull())
     )
@@ -98,10 +102,8 @@ def linked_payments(ledger, table):
 
 def documents(ledger, table):
     """Invoices or bills, one compact row per document with its parsed lines."""
-    return (
-        ledger.table(table)
-        .select(CLIENT, F.col("Id").alias("document_id"), "TotalAmt", parsed_lines(table).alias("lines"))
-        .filter(F.col("document_id").isNotNull() & (F.size("lines") > 0))
+    return ledger.table(table).select(
+        CLIENT, F.col("Id").alias("document_id"), "TotalAmt", parsed_lines(table).alias("lines")
     )
 
 
@@ -130,9 +132,12 @@ def paid_share(ledger):
 
 def _allocated_lines(ledger, payments_table, documents_table, detail, ref_kind):
     paid = paid_documents(ledger, payments_table, documents_table)
-    lines = paid.select(CLIENT, "txnDate", "paid", "TotalAmt", F.explode("lines").alias("line"))
-    lines = _reference(lines, detail)
-    amount = scalar(F.col("line.Amount")).cast("double") * paid_share(ledger)
+    # The outer explode keeps the planner from testing the size of the parsed lines
+    # below the join, which would parse every document twice.  Lines without a
+    # reference, and so documents without lines, go with the next filter.
+    line = F.explode_outer("lines").alias("line")
+    lines = _reference(paid.select(CLIENT, "txnDate", "paid", "TotalAmt", line), detail)
+    amount = scalar("line.Amount").cast("double") * paid_share(ledger)
     return _rows(lines, payments_table, ref_kind, amount.cast(ledger.amount_type))
 
 

@@ -44,8 +44,8 @@ def client_problems(ledger):
             checks.append(_count(ledger.table(table), table, "txnDate", bad))
     for table, detail in _DETAILS.items():
         lines = explode_lines(ledger.table(table), table, CLIENT)
-        referenced = scalar(F.col(f"line.{detail}.value")).isNotNull()
-        bad = referenced & _unparsable(scalar(F.col("line.Amount")), ledger.amount_type)
+        referenced = scalar(f"line.{detail}.value").isNotNull()
+        bad = referenced & _unparsable(scalar("line.Amount"), ledger.amount_type)
         checks.append(_count(lines, table, "Amount", bad))
     for payments_table, documents_table in (
         SOURCE_TABLES["payments"],

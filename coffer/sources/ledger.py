@@ -16,16 +16,19 @@ def conform(df, table):
     Column names match without regard to case.  A missing column raises here,
     by name, rather than deep inside a query.
     """
-    present = {name.lower(): name for name in df.columns}
+    stored = {field.name.lower(): field for field in df.schema}
     wanted = {CLIENT: "string", **RAW_COLUMNS[table]}
-    missing = [name for name in wanted if name.lower() not in present]
+    missing = [name for name in wanted if name.lower() not in stored]
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}")
     columns = []
     for name, kind in wanted.items():
-        column = F.col(f"`{present[name.lower()]}`")
-        columns.append((column.cast(kind) if kind else column).alias(name))
-    return df.select(*columns)
+        found = stored[name.lower()]
+        if kind and found.dataType.simpleString() != kind:
+            columns.append(f"CAST(`{found.name}` AS {kind}) AS {name}")
+        else:
+            columns.append(f"`{found.name}` AS {name}")
+    return df.selectExpr(*columns)
 
 
 def stored_schema(spark, path, fmt="parquet"):

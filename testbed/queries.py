@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from coffer.functions.json_text import elements, scalar, scalar_at
+from coffer.functions.json_text import scalar_at
 from coffer.functions.keys import entry_id
 from coffer.functions.text import (
     budget_cell,
@@ -16,7 +16,13 @@ from coffer.operators import accounts as accounts_op
 from coffer.operators import comments as comments_op
 from coffer.operators import lines as lines_op
 from coffer.operators.blend import blend, blend_refresh, combine
-from coffer.operators.budget import budget_long, duplicate_account_names, stage_budget, unpivot_months
+from coffer.operators.budget import (
+    budget_accounts,
+    budget_long,
+    duplicate_account_names,
+    stage_budget,
+    unpivot_months,
+)
 from coffer.operators.pnl import (
     JOURNAL_TYPES,
     newest_first,
@@ -175,7 +181,7 @@ def filter_account_types(spark, sf_dir):
 def clean_budget_amounts(spark, sf_dir):
     sheet = landed(spark, sf_dir).sheet
     cells = [
-        budget_cell(F.col(f"string_field_{FIRST_MONTH_FIELD + i}")).alias(f"month_{i}")
+        budget_cell(f"string_field_{FIRST_MONTH_FIELD + i}").alias(f"month_{i}")
         for i in range(N_MONTHS)
     ]
     return sheet.select(CLIENT, "string_field_1", *cells)
@@ -218,13 +224,13 @@ def normalize_url(spark, sf_dir):
 
 def json_scalar_value(spark, sf_dir):
     events = read(spark, sf_dir, "events")
-    nested = F.concat(F.lit('{"outer":'), F.col("props"), F.lit("}"))
-    return events.select(
+    nested = F.concat(F.lit('{"outer":'), F.col("props"), F.lit("}")).alias("nested")
+    return events.select("event_id", "props", nested).select(
         "event_id",
-        scalar_at(F.col("props"), "$.k").alias("k"),
-        scalar_at(F.col("props"), "$.K").alias("other_case"),
-        scalar_at(nested, "$.outer").alias("nested_object"),
-        scalar_at(nested, "$.outer.k").alias("nested_k"),
+        scalar_at("props", "$.k").alias("k"),
+        scalar_at("props", "$.K").alias("other_case"),
+        scalar_at("nested", "$.outer").alias("nested_object"),
+        scalar_at("nested", "$.outer.k").alias("nested_k"),
     )
 
 
@@ -355,8 +361,6 @@ def join_budget_account(spark, sf_dir):
     data = landed(spark, sf_dir)
     accounts = data.ledger.table("accounts")
     staged = data.sheet.select(CLIENT, path_head(F.col("string_field_1")).alias("sub_account"))
-    from coffer.operators.budget import budget_accounts
-
     shared = duplicate_account_names(accounts).withColumnRenamed("Name", "sub_account")
     return (
         staged.join(budget_accounts(accounts), [CLIENT, "sub_account"], "left")
