@@ -7,10 +7,15 @@ for the planner rather than a tree built call by call from Python.
 from pyspark.sql import functions as F
 
 
+def scalar_sql(text):
+    """SQL of :func:`scalar`, for use inside larger expressions."""
+    nested = f"startswith({text}, '{{') OR startswith({text}, '[')"
+    return f"CASE WHEN NOT ({nested}) THEN {text} END"
+
+
 def scalar(text):
     """Scalar JSON value as text; objects and arrays give NULL."""
-    nested = f"startswith({text}, '{{') OR startswith({text}, '[')"
-    return F.expr(f"CASE WHEN NOT ({nested}) THEN {text} END")
+    return F.expr(scalar_sql(text))
 
 
 def scalar_at(json_text, path):

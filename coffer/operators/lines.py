@@ -11,7 +11,15 @@ from coffer.functions.json_text import elements, scalar
 from coffer.operators.accounts import ACCOUNT, ITEM
 from coffer.schemas import CLIENT, LINE_ELEMENTS
 
-LINE_COLUMNS = (CLIENT, "source", "posting", "txnDate", "ref_kind", "ref_id", "amount")
+# Where a line of each document names its account or item.
+REFERENCES = {
+    "deposits": "DepositLineDetail.AccountRef",
+    "purchases": "AccountBasedExpenseLineDetail.AccountRef",
+    "journal_entries": "JournalEntryLineDetail.AccountRef",
+    "invoices": "SalesItemLineDetail.ItemRef",
+    "bills": "AccountBasedExpenseLineDetail.AccountRef",
+    "sales_receipts": "SalesItemLineDetail.ItemRef",
+}
 
 
 def parsed_lines(table):
@@ -24,9 +32,9 @@ def explode_lines(df, table, *keep):
     return df.select(*keep, F.explode(parsed_lines(table)).alias("line"))
 
 
-def _reference(df, field):
-    """Add ``ref_id`` from ``line.<field>.value``, keeping lines that have one."""
-    return df.withColumn("ref_id", scalar(f"line.{field}.value")).filter(
+def _reference(df, table):
+    """Add ``ref_id``, the account or item of each line, keeping lines that have one."""
+    return df.withColumn("ref_id", scalar(f"line.{REFERENCES[table]}.value")).filter(
         F.col("ref_id").isNotNull()
     )
 
@@ -54,13 +62,13 @@ def _date():
 
 def deposits_lines(ledger):
     lines = explode_lines(ledger.table("deposits"), "deposits", CLIENT, _date())
-    lines = _reference(lines, "DepositLineDetail.AccountRef")
+    lines = _reference(lines, "deposits")
     return _rows(lines, "deposits", ACCOUNT, _line_amount(ledger))
 
 
 def purchases_lines(ledger):
     lines = explode_lines(ledger.table("purchases"), "purchases", CLIENT, _date(), "credit")
-    lines = _reference(lines, "AccountBasedExpenseLineDetail.AccountRef")
+    lines = _reference(lines, "purchases")
     posting = F.when(F.col("credit"), F.lit("Credit"))
     return _rows(lines, "purchases", ACCOUNT, _line_amount(ledger), posting)
 
@@ -68,7 +76,7 @@ def purchases_lines(ledger):
 def journal_lines(ledger):
     table = "journal_entries"
     lines = explode_lines(ledger.table(table), table, CLIENT, _date())
-    lines = _reference(lines, "JournalEntryLineDetail.AccountRef")
+    lines = _reference(lines, table)
     posting = scalar("line.JournalEntryLineDetail.PostingType")
     return _rows(lines, table, ACCOUNT, _line_amount(ledger), posting)
 
@@ -76,7 +84,7 @@ def journal_lines(ledger):
 def sales_receipt_lines(ledger):
     table = "sales_receipts"
     lines = explode_lines(ledger.table(table), table, CLIENT, _date())
-    lines = _reference(lines, "SalesItemLineDetail.ItemRef")
+    lines = _reference(lines, table)
     return _rows(lines, table, ITEM, _line_amount(ledger))
 
 
@@ -130,27 +138,25 @@ def paid_share(ledger):
     return F.col("paid") / total
 
 
-def _allocated_lines(ledger, payments_table, documents_table, detail, ref_kind):
+def _allocated_lines(ledger, payments_table, documents_table, ref_kind):
     paid = paid_documents(ledger, payments_table, documents_table)
     # The outer explode keeps the planner from testing the size of the parsed lines
     # below the join, which would parse every document twice.  Lines without a
     # reference, and so documents without lines, go with the next filter.
     line = F.explode_outer("lines").alias("line")
-    lines = _reference(paid.select(CLIENT, "txnDate", "paid", "TotalAmt", line), detail)
+    lines = _reference(paid.select(CLIENT, "txnDate", "paid", "TotalAmt", line), documents_table)
     amount = scalar("line.Amount").cast("double") * paid_share(ledger)
     return _rows(lines, payments_table, ref_kind, amount.cast(ledger.amount_type))
 
 
 def payment_lines(ledger):
     """Customer payments allocated over the lines of the invoices they pay."""
-    return _allocated_lines(ledger, "payments", "invoices", "SalesItemLineDetail.ItemRef", ITEM)
+    return _allocated_lines(ledger, "payments", "invoices", ITEM)
 
 
 def bill_payment_lines(ledger):
     """Bill payments allocated over the lines of the bills they pay."""
-    return _allocated_lines(
-        ledger, "bill_payments", "bills", "AccountBasedExpenseLineDetail.AccountRef", ACCOUNT
-    )
+    return _allocated_lines(ledger, "bill_payments", "bills", ACCOUNT)
 
 
 SOURCES = {

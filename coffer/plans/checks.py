@@ -4,59 +4,71 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from coffer.functions.json_text import scalar
-from coffer.operators.lines import SOURCE_TABLES, documents, explode_lines, linked_payments
-from coffer.schemas import CLIENT, RAW_COLUMNS
+from coffer.functions.json_text import scalar_sql
+from coffer.operators.lines import REFERENCES, SOURCE_TABLES, documents, linked_payments, parsed_lines
+from coffer.schemas import CLIENT
 
-_DETAILS = {
-    "deposits": "DepositLineDetail.AccountRef",
-    "purchases": "AccountBasedExpenseLineDetail.AccountRef",
-    "bills": "AccountBasedExpenseLineDetail.AccountRef",
-    "journal_entries": "JournalEntryLineDetail.AccountRef",
-    "invoices": "SalesItemLineDetail.ItemRef",
-    "sales_receipts": "SalesItemLineDetail.ItemRef",
-}
+_PAYMENTS = tuple(tables for tables in SOURCE_TABLES.values() if len(tables) == 2)
 
 
 def _unparsable(value, kind):
-    return value.isNotNull() & value.cast("string").try_cast(kind).isNull()
+    """SQL condition: text that a strict cast would raise on."""
+    return f"{value} IS NOT NULL AND try_cast(CAST({value} AS STRING) AS {kind}) IS NULL"
 
 
-def _count(df, table, problem, condition):
+def _report(df, table, **counts):
+    """Client, table, problem and count, from a number per row and problem."""
+    sums = df.groupBy(CLIENT).agg(*[F.sum(n).alias(problem) for problem, n in counts.items()])
     return (
-        df.filter(condition)
-        .groupBy(CLIENT)
-        .agg(F.count("*").alias("n"))
-        .select(CLIENT, F.lit(table).alias("table"), F.lit(problem).alias("problem"), "n")
+        sums.unpivot([CLIENT], list(counts), "problem", "n")
+        .filter("n > 0")
+        .select(CLIENT, F.lit(table).alias("table"), "problem", "n")
     )
 
 
+def _flag(condition):
+    return F.expr(f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS BIGINT)")
+
+
+def _line_problems(ledger, table):
+    """Dates and amounts of a transaction table, in one pass over its documents."""
+    target = scalar_sql(f"l.{REFERENCES[table]}.value")
+    amount = scalar_sql("l.Amount")
+    bad_line = f"{target} IS NOT NULL AND {_unparsable(amount, ledger.amount_type)}"
+    bad_lines = F.expr(f"CAST(coalesce(size(filter(lines, l -> {bad_line})), 0) AS BIGINT)")
+    counts = {"Amount": bad_lines}
+    raw = ledger.table(table)
+    if "txnDate" in raw.columns:
+        counts["txnDate"] = _flag(_unparsable("txnDate", "date"))
+    return _report(raw.withColumn("lines", parsed_lines(table)), table, **counts)
+
+
+def _payment_problems(paid, table):
+    return _report(
+        paid,
+        table,
+        Amount=_flag(_unparsable("paid", "double")),
+        txnDate=_flag(_unparsable("txnDate", "date")),
+    )
+
+
+def _zero_totals(ledger, paid, table):
+    """Documents of total zero that something was paid on."""
+    zero = documents(ledger, table).filter("CAST(TotalAmt AS DOUBLE) = 0").drop("lines")
+    zero_paid = zero.join(paid, [CLIENT, "document_id"], "left_semi")
+    return _report(zero_paid, table, TotalAmt=_flag("TRUE"))
+
+
 def client_problems(ledger):
     """Rows that would fail a refresh: client, table, problem and how many.
 
     Checks what the strict casts and the division would raise on: dates, amounts of
     lines that carry a reference, paid amounts, and zero totals of paid documents.
     """
-    checks = []
-    for table, columns in RAW_COLUMNS.items():
-        if "txnDate" in columns:
-            bad = _unparsable(F.col("txnDate"), "date")
-            checks.append(_count(ledger.table(table), table, "txnDate", bad))
-    for table, detail in _DETAILS.items():
-        lines = explode_lines(ledger.table(table), table, CLIENT)
-        referenced = scalar(f"line.{detail}.value").isNotNull()
-        bad = referenced & _unparsable(scalar("line.Amount"), ledger.amount_type)
-        checks.append(_count(lines, table, "Amount", bad))
-    for payments_table, documents_table in (
-        SOURCE_TABLES["payments"],
-        SOURCE_TABLES["bill_payments"],
-    ):
+    checks = [_line_problems(ledger, table) for table in REFERENCES]
+    for payments_table, documents_table in _PAYMENTS:
         paid = linked_payments(ledger, payments_table)
-        checks.append(
-            _count(paid, payments_table, "Amount", _unparsable(F.col("paid"), "double"))
-        )
+        checks.append(_payment_problems(paid, payments_table))
         if ledger.on_zero_total == "raise":
-            zero = documents(ledger, documents_table).filter(F.col("TotalAmt").cast("double") == 0)
-            zero_paid = zero.join(paid, [CLIENT, "document_id"], "left_semi")
-            checks.append(_count(zero_paid, documents_table, "TotalAmt", F.lit(True)))
+            checks.append(_zero_totals(ledger, paid, documents_table))
     return reduce(lambda a, b: a.unionByName(b), checks)

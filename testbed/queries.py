@@ -241,14 +241,7 @@ def explode_json_lines(spark, sf_dir):
     """Lines per document, the ones with a reference and all, over all six kinds."""
     ledger = landed(spark, sf_dir).ledger
     union = None
-    for name, detail in (
-        ("deposits", "DepositLineDetail.AccountRef"),
-        ("purchases", "AccountBasedExpenseLineDetail.AccountRef"),
-        ("journal_entries", "JournalEntryLineDetail.AccountRef"),
-        ("invoices", "SalesItemLineDetail.ItemRef"),
-        ("bills", "AccountBasedExpenseLineDetail.AccountRef"),
-        ("sales_receipts", "SalesItemLineDetail.ItemRef"),
-    ):
+    for name, detail in lines_op.REFERENCES.items():
         lines = lines_op.explode_lines(ledger.table(name), name, CLIENT)
         counts = lines.groupBy(CLIENT).agg(
             F.count("*").alias("n_lines"),

@@ -1,0 +1,115 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import books
+from books import DAY, account, deposit, expense, lines, paid, ref, rows
+from coffer.operators.comments import add_comments, empty_comments
+from coffer.plans.checks import client_problems
+from coffer.plans.refresh import BLEND, COMMENTS, refresh, register_report_views
+from coffer.sinks.snapshots import layer_path, read_snapshot
+from test_budget import sheet
+
+
+def book(spark, amount, clients=("c", "d"), **more):
+    accounts = [account("a", "Income", client=k) for k in clients]
+    deposits = [(k, DAY, lines(deposit("a", amount))) for k in clients]
+    return books.ledger(spark, accounts=accounts, deposits=deposits, **more)
+
+
+def both_sheets(spark):
+    return sheet(spark, "a", cells=("7",)).unionByName(sheet(spark, "a", client="d", cells=("7",)))
+
+
+def facts(spark, root):
+    return read_snapshot(spark, layer_path(root, "marts", BLEND))
+
+
+def actuals(spark, root):
+    return rows(facts(spark, root).filter("actual != 0"), "client", "actual")
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path)
+
+
+def test_all_clients_in_one_run(spark, root):
+    first = refresh(book(spark, 1), both_sheets(spark), root)
+    assert first.blend_version == 1 and first.problems.count() == 0
+    assert actuals(spark, root) == [("c", 1.0), ("d", 1.0)]
+    assert rows(facts(spark, root).filter("budget_amount != 0"), "client", "txnDate", "budget_amount") == [
+        ("c", "2025-01-01", 7.0), ("d", "2025-01-01", 7.0),
+    ]
+    before = rows(facts(spark, root), "client", "entry_id")
+    refresh(book(spark, 2), both_sheets(spark), root)
+    assert actuals(spark, root) == [("c", 2.0), ("d", 2.0)]
+    assert rows(facts(spark, root), "client", "entry_id") == before
+
+
+def test_refresh_is_idempotent(spark, root):
+    for _ in range(3):
+        refresh(book(spark, 1), both_sheets(spark), root)
+    assert facts(spark, root).count() == 4
+    assert actuals(spark, root) == [("c", 1.0), ("d", 1.0)]
+
+
+def test_failing_client_keeps_its_rows_and_is_reported(spark, root):
+    refresh(book(spark, 1), both_sheets(spark), root)
+    bad = book(spark, 5, bills=[("d", "1", 0.0, lines(expense("a", 1)))], bill_payments=[("d", DAY, lines(paid(1, "1")))])
+    outcome = refresh(bad, both_sheets(spark), root)
+    assert rows(outcome.problems) == [("d", "bills", "TotalAmt", 1)]
+    assert actuals(spark, root) == [("c", 5.0), ("d", 1.0)]
+    assert facts(spark, root).count() == 4
+
+
+def test_unchecked_run_raises(spark, root):
+    bad = books.ledger(spark, accounts=[account("a")], deposits=[("c", "soon", lines(deposit("a", 1)))])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        refresh(bad, both_sheets(spark), root, check_inputs=False)
+    assert facts(spark, root) is None
+
+
+def test_some_clients_only(spark, root):
+    refresh(book(spark, 1), both_sheets(spark), root)
+    refresh(book(spark, 9).with_options(clients=("c",)), both_sheets(spark), root)
+    assert actuals(spark, root) == [("c", 9.0), ("d", 1.0)]
+
+
+def test_comments_outlive_refreshes(spark, root):
+    refresh(book(spark, 1), both_sheets(spark), root)
+    entry = facts(spark, root).filter("client = 'c' and actual != 0").first().entry_id
+    note = [("c", "1", entry, "why", "ann", datetime.datetime(2025, 4, 1), None)]
+    path = layer_path(root, "marts", COMMENTS)
+    add_comments(spark.createDataFrame(note, empty_comments(spark).schema), path)
+    gone = books.ledger(spark, accounts=[account("a", "Income", client=k) for k in "cd"])
+    refresh(gone, both_sheets(spark), root)
+    refresh(gone, both_sheets(spark), root)
+    assert rows(facts(spark, root).filter(F.col("txnDate") == DAY), "client", "entry_id", "actual") == [("c", entry, 0.0)]
+    assert read_snapshot(spark, path).count() == 1
+
+
+def test_report_views(spark, root):
+    ledger = book(spark, 3)
+    refresh(ledger, both_sheets(spark), root)
+    names = register_report_views(ledger, both_sheets(spark), root, client="c")
+    assert set(names) >= {"p_l_view", "budget_transformed", BLEND, "pl_budget_with_comments", "profit_by_month"}
+    got = spark.sql("SELECT txnDate, net_profit_actual, net_profit_budget FROM profit_by_month ORDER BY txnDate")
+    assert [(str(r[0]), r[1], r[2]) for r in got.collect()] == [("2025-01-01", 0.0, 7.0), (DAY, 3.0, 0.0)]
+
+
+def test_problems_by_client(spark):
+    ledger = books.ledger(
+        spark,
+        accounts=[account("a")],
+        items=[("c", "i", ref("a"))],
+        deposits=[("c", "2025-02-30", lines(deposit("a", 1))), ("d", DAY, lines(deposit("a", "x"), {"Amount": "y"}))],
+        invoices=[("c", "1", 0.0, None), ("c", "2", 0.0, lines(books.sale("i", 1)))],
+        payments=[("e", DAY, lines(paid("z", "9"))), ("c", DAY, lines(paid(1, "1")))],
+    )
+    expected = [
+        ("c", "deposits", "txnDate", 1), ("c", "invoices", "TotalAmt", 1),
+        ("d", "deposits", "Amount", 1), ("e", "payments", "Amount", 1),
+    ]
+    assert rows(client_problems(ledger)) == expected
