@@ -24,20 +24,24 @@ LITERAL_KEY = (CLIENT, "txnDate", "parent_account", "sub_account")
 LITERAL_NULL_SAFE = ("child_account",)
 
 
-def combine(pnl, budget):
-    """Actual and budget amounts added up to one grain.
-
-    Both inputs may hold several rows per grain: this is the only aggregation they
-    need.
-    """
+def stack_facts(pnl, budget):
+    """Actual and budget rows in one shape, the other amount being zero."""
     actual = pnl.select(
         *GRAIN, F.col("amount").alias("actual"), F.lit(0).cast("int").alias("budget_amount")
     )
     planned = budget.withColumnRenamed("budget_date", "txnDate").select(
         *GRAIN, F.lit(0).cast("int").alias("actual"), "budget_amount"
     )
-    both = actual.unionByName(planned)
-    return both.groupBy(*GRAIN).agg(
+    return actual.unionByName(planned)
+
+
+def combine(pnl, budget):
+    """Actual and budget amounts added up to one grain.
+
+    Both inputs may hold several rows per grain: this is the only aggregation they
+    need.
+    """
+    return stack_facts(pnl, budget).groupBy(*GRAIN).agg(
         F.sum("actual").alias("actual"), F.sum("budget_amount").alias("budget_amount")
     )
 

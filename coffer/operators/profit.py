@@ -28,7 +28,8 @@ def profit(facts, grain="date"):
     """Six measures per client and date, or per client and month.
 
     Comments never change amounts, so the blend serves as well as the commented
-    facts and spares their join.
+    facts and spares their join; so do stacked rows of P&L and budget, which spare
+    the blend's aggregation over the whole account hierarchy.
     """
     if grain == "date":
         day = F.col("txnDate")

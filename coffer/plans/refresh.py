@@ -15,6 +15,10 @@ from coffer.schemas import CLIENT
 from coffer.sinks.snapshots import layer_path, read_snapshot, write_snapshot
 from coffer.sinks.views import register_views
 
+# Up to this many failing clients are left out by name, which prunes their
+# partitions; more are left out by an anti join.
+EXCLUDED_BY_NAME = 1000
+
 BLEND = "materialized_pl_budget_blend"
 COMMENTS = "financial_comments"
 PROBLEMS = "client_problems"
@@ -48,7 +52,7 @@ def refresh(
         # Written once: the exclusions below read the result, not the checks again.
         write_snapshot(client_problems(ledger), problems_path, partition_by=())
         problems = read_snapshot(spark, problems_path)
-        ledger = ledger.with_options(excluded=problems)
+        ledger = _without(ledger, problems)
 
     refreshed = ledger.table("accounts").select(CLIENT).distinct()
     budget = budget_long(
@@ -67,6 +71,15 @@ def refresh(
     return Refreshed(write_snapshot(result.select(*BLEND_COLUMNS), blend_path), problems)
 
 
+def _without(ledger, problems):
+    """The ledger without the clients that have problems."""
+    failing = problems.select(CLIENT).distinct()
+    named = failing.limit(EXCLUDED_BY_NAME + 1).collect()
+    if len(named) > EXCLUDED_BY_NAME:
+        return ledger.with_options(excluded=failing)
+    return ledger.with_options(excluded=tuple(row[CLIENT] for row in named))
+
+
 def report_frames(ledger, sheet, output_root, start="2025-01", n_months=36):
     """The named tables and views a reader queries, lazily."""
     spark = ledger.spark

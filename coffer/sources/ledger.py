@@ -47,8 +47,8 @@ class Ledger:
     """The ten raw tables under one root, or given as frames.
 
     ``clients`` restricts every table to some clients; with data partitioned by
-    client that is partition pruning.  ``excluded`` is a frame of clients to leave
-    out.  ``amount_type`` is the type money is summed in: ``double`` as
+    client that is partition pruning.  ``excluded`` names clients to leave out, or is
+    a frame of them.  ``amount_type`` is the type money is summed in: ``double`` as
     in the source systems, or a decimal type for sums that do not depend on order.
     ``on_zero_total`` is ``raise`` or ``null``, for documents with total zero.
     """
@@ -59,7 +59,7 @@ class Ledger:
     layout: str = "{root}/{table}"
     fmt: str = "parquet"
     frames: dict | None = None
-    excluded: DataFrame | None = None
+    excluded: DataFrame | tuple = ()
     amount_type: str = "double"
     on_zero_total: str = "raise"
     # Schemas read so far, by path: each table's files are opened for it once.
@@ -81,7 +81,10 @@ class Ledger:
         df = conform(raw, name)
         if self.clients is not None:
             df = df.filter(F.col(CLIENT).isin(*self.clients))
-        if self.excluded is not None:
+        if isinstance(self.excluded, tuple):
+            if self.excluded:
+                df = df.filter(~F.col(CLIENT).isin(*self.excluded))
+        else:
             df = df.join(self.excluded.select(CLIENT).distinct(), CLIENT, "left_anti")
         return df
 

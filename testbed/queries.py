@@ -15,7 +15,7 @@ from coffer.functions.text import (
 from coffer.operators import accounts as accounts_op
 from coffer.operators import comments as comments_op
 from coffer.operators import lines as lines_op
-from coffer.operators.blend import blend, blend_refresh, combine
+from coffer.operators.blend import blend, blend_refresh, stack_facts
 from coffer.operators.budget import (
     budget_accounts,
     budget_long,
@@ -487,18 +487,18 @@ MEASURES = tuple(
 )
 
 
-def _combined(spark, sf_dir):
-    """Facts straight from ledger and sheet, as the first run combines them."""
+def _stacked(spark, sf_dir):
+    """Facts straight from ledger and sheet: measures need no finer aggregation."""
     data = landed(spark, sf_dir)
-    return combine(pnl_rows(data.ledger), data.budget())
+    return stack_facts(pnl_rows(data.ledger), data.budget())
 
 
 def profit_by_date(spark, sf_dir):
-    return _doubles(profit(_combined(spark, sf_dir), "date"), *MEASURES)
+    return _doubles(profit(_stacked(spark, sf_dir), "date"), *MEASURES)
 
 
 def profit_by_month(spark, sf_dir):
-    return _doubles(profit(_combined(spark, sf_dir), "month"), *MEASURES)
+    return _doubles(profit(_stacked(spark, sf_dir), "month"), *MEASURES)
 
 
 QUERIES = {

@@ -49,7 +49,7 @@ def test_all_clients_in_one_run(spark, root):
 
 
 def test_refresh_is_idempotent(spark, root):
-    for _ in range(3):
+    for _ in range(2):
         refresh(book(spark, 1), both_sheets(spark), root)
     assert facts(spark, root).count() == 4
     assert actuals(spark, root) == [("c", 1.0), ("d", 1.0)]
