@@ -82,13 +82,14 @@ def _refresh_intended(previous, facts, comments):
     nothing counts twice, and no comment is left without its row.
     """
     commented = comments.select(CLIENT, "entry_id").distinct().withColumn("commented", F.lit(True))
+    # Only rows under comments are ever emitted without a new fact.
+    kept = {n: F.any_value(F.when(F.col("commented"), F.col(n)), ignoreNulls=True) for n in GRAIN}
     old = (
         previous.select("entry_id", *GRAIN, "last_refreshed")
         .join(commented, [CLIENT, "entry_id"], "left")
         .groupBy(entry_id().alias("row_key"))
         .agg(
-            # Only rows under comments can be needed without a new fact.
-            *[F.any_value(F.when(F.col("commented"), F.col(n)), F.lit(True)).alias(f"old_{n}") for n in GRAIN],
+            *[value.alias(f"old_{name}") for name, value in kept.items()],
             F.min("entry_id").alias("old_id"),
             F.collect_set(F.when(F.col("commented"), F.col("entry_id"))).alias("commented_ids"),
             F.max("last_refreshed").alias("old_refreshed"),

@@ -283,7 +283,8 @@ class Landed:
 
     @cached_property
     def ledger(self):
-        root = f"{self.base}/raw"
+        # A new folder each time: a landing that failed half-way is not added to.
+        root = self.fresh("raw")
         by = ("table", CLIENT)
         frames = [
             documents(self.spark, self.sf_dir),
@@ -299,7 +300,7 @@ class Landed:
 
     @cached_property
     def sheet_path(self):
-        path = f"{self.base}/budget_template"
+        path = self.fresh("budget_template")
         rows = sheet_rows(self.spark, self.sf_dir).drop(SHEET_ROW).hint("rebalance", CLIENT)
         rows.write.partitionBy(CLIENT).option("header", True).csv(path)
         return path

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import books
 from books import DAY, account, deposit, expense, journal, ledger, lines, paid, ref, rows, sale, tree
 from coffer.operators.accounts import account_dim, flatten_hierarchy
-from coffer.operators.lines import deposits_lines, linked_payments, purchases_lines
+from coffer.operators.lines import deposits_lines, linked_payments, paid_documents, purchases_lines
 from coffer.operators.pnl import newest_first, profit_and_loss
 
 SHAPE = ("parent_account", "sub_account", "child_account", "amount")
@@ -242,3 +242,27 @@ def test_dimension_levels(spark):
     ]
     flat = flatten_hierarchy(dim, "short")
     assert "level1" not in flat.columns and books.CLIENT in flat.columns
+
+
+def test_hot_document_and_hot_account(spark):
+    """One invoice and one account hold most rows; sums stay whole and join rows few."""
+    pages = spark.range(3000).select(
+        F.lit("c").alias("client"), F.lit("hot").alias("Id"), F.lit(30000.0).alias("TotalAmt"),
+        F.lit(lines(sale("i", 4), sale("j", 6))).alias("Line"),
+    )
+    instalments = spark.range(2000).select(
+        F.lit("c").alias("client"),
+        F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("txnDate"),
+        F.lit(lines(paid(3, "hot"))).alias("Line"),
+    )
+    book = ledger(
+        spark, accounts=[account("a", "Income"), account("b", "Income")],
+        items=[("c", "i", ref("a")), ("c", "j", ref("b"))], amount_type="decimal(18,4)",
+    )
+    book.frames.update(invoices=pages, payments=instalments)
+    assert paid_documents(book, "payments", "invoices").count() == 3000 * 2
+    got = rows(profit_and_loss(book, ("payments",)), "txnDate", "sub_account", "amount")
+    assert [(d, s, float(a)) for d, s, a in got] == [
+        ("2025-01-01", "a", 1200.0), ("2025-01-01", "b", 1800.0),
+        ("2025-01-02", "a", 1200.0), ("2025-01-02", "b", 1800.0),
+    ]
