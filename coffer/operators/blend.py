@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from coffer.functions.keys import entry_id
+from coffer.functions.keys import entry_id, random_entry_id
 from coffer.schemas import CLIENT, GRAIN
 
 BLEND_COLUMNS = (
@@ -46,11 +46,14 @@ def combine(pnl, budget):
     )
 
 
-def blend(pnl, budget):
-    """First run: combined facts with new ids."""
+def blend(pnl, budget, random_ids=False):
+    """First run: combined facts with new ids.
+
+    Random ids hold only once the result is written; read it back before using them.
+    """
     return (
         combine(pnl, budget)
-        .withColumn("entry_id", entry_id())
+        .withColumn("entry_id", random_entry_id() if random_ids else entry_id())
         .withColumn("last_refreshed", F.current_timestamp())
         .select(*BLEND_COLUMNS)
     )

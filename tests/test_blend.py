@@ -36,6 +36,12 @@ def test_first_run_adds_actual_and_budget(spark):
     assert result.filter(F.col("last_refreshed").isNull()).count() == 0
 
 
+def test_random_ids(spark):
+    facts = pnl(spark, ("p", "a", None, 1.0), ("p", "b", None, 2.0))
+    ids = [r.entry_id for r in blend(facts, no_budget(spark), random_ids=True).collect()]
+    assert len(set(ids)) == 2 and all(len(i) == 36 for i in ids)
+
+
 def test_ids_survive_refreshes(spark):
     nothing = no_budget(spark)
     first = settled(blend(pnl(spark, (None, "a", None, 1.0), ("p", "b", None, 2.0)), nothing))
