@@ -38,14 +38,26 @@ def month_columns(staged):
     return [c for c in staged.columns if c.endswith("_budget")]
 
 
+def _pack_months(df):
+    """The month columns as one array, which keeps rows narrow through a join."""
+    months = month_columns(df)
+    return df.select(*[c for c in df.columns if c not in months], F.array(*months).alias("months"))
+
+
+def _unpack_months(df, labels):
+    """One row per element of ``months`` holding a value; its label as a date."""
+    ids = [c for c in df.columns if c != "months"]
+    # The outer explode keeps the planner from testing the array, and so cleaning
+    # every cell twice, below; empty months go with the filter.
+    value = F.posexplode_outer("months").alias("month", "budget_amount")
+    label = F.get(F.array(*[F.lit(m) for m in labels]), F.col("month"))
+    long = df.select(*ids, value).filter(F.col("budget_amount").isNotNull())
+    return long.select(*ids, month_start(label).alias("budget_date"), "budget_amount")
+
+
 def unpivot_months(df):
     """One row per month column holding a value; the month as a date."""
-    months = month_columns(df)
-    ids = [c for c in df.columns if c not in months]
-    long = df.unpivot(ids, months, "month_label", "budget_amount")
-    return long.filter(F.col("budget_amount").isNotNull()).select(
-        *ids, month_start(F.col("month_label")).alias("budget_date"), "budget_amount"
-    )
+    return _unpack_months(_pack_months(df), month_columns(df))
 
 
 def budget_accounts(accounts):
@@ -77,10 +89,10 @@ def budget_long(staged, accounts):
     account and not one per month.  Names without an account stay, with NULLs; a
     name shared by several accounts yields a row for each.
     """
-    wide = staged.drop("parent_account").join(
+    wide = _pack_months(staged.drop("parent_account")).join(
         budget_accounts(accounts), [CLIENT, "sub_account"], "left"
     )
-    return unpivot_months(wide).select(*BUDGET_COLUMNS)
+    return _unpack_months(wide, month_columns(staged)).select(*BUDGET_COLUMNS)
 
 
 def duplicate_account_names(accounts):

@@ -30,6 +30,9 @@ def profit(facts, grain="date"):
     Comments never change amounts, so the blend serves as well as the commented
     facts and spares their join; so do stacked rows of P&L and budget, which spare
     the blend's aggregation over the whole account hierarchy.
+
+    Amounts add up per day and account type first: two plain sums per row, and the
+    conditional sums see a few rows per day.
     """
     if grain == "date":
         day = F.col("txnDate")
@@ -43,6 +46,9 @@ def profit(facts, grain="date"):
         for name in ("gross_profit", "net_profit", "net_cash")
         for suffix in ("actual", "budget")
     ]
-    return facts.groupBy(CLIENT, day.alias("txnDate")).agg(
+    by_type = facts.groupBy(CLIENT, day.alias("txnDate"), "account_type").agg(
+        F.sum("actual").alias("actual"), F.sum("budget_amount").alias("budget_amount")
+    )
+    return by_type.groupBy(CLIENT, "txnDate").agg(
         *[measures[name].alias(name) for name in columns]
     )
