@@ -6,13 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, sharding
+from coffer.llm import bpe, decontaminate, sharding, urlfilter
+
+#: (verdict, host, path)
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
+    n_hit = decontaminate.covered_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -28,6 +50,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = urlfilter.rule_table(spark, URL_RULES)
+    return urlfilter.judged(table(spark, sf_dir, "pages"), rules).drop("url")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
@@ -40,8 +67,38 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
+    "op3_url_filter": op3_url_filter,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), spots AS (
+            SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM items WHERE len(w) > 0
+        ), known AS (
+            SELECT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM spots
+        ), sizes AS (SELECT DISTINCT n FROM known
+        ), places AS (
+            SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n
+        ), met AS (
+            SELECT p.doc_id, p.i, p.n, k.item_id
+            FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM places) p JOIN known k ON p.n = k.n AND p.g = k.g
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM met) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM met) GROUP BY doc_id
+        )
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+}
