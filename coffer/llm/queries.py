@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, sharding, urlfilter
+from coffer.llm import bpe, decontaminate, sharding, urlfilter, wavelet
+from coffer.llm.shared import Scratch, ship
 
 #: (verdict, host, path)
 URL_RULES = [
@@ -18,6 +19,7 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -55,6 +57,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"), rules).drop("url")
 
 
+def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{Scratch(spark, 'tokens').root}/ids"
+    wavelet.write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return wavelet.documents_of(wavelet.read_shards(spark, folder))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
@@ -70,6 +78,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_url_filter": op3_url_filter,
+    "op6_token_matrix": op6_token_matrix,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,24 @@ def _own_folder() -> str:
     return f"file://{tempfile.mkdtemp(prefix='llm-')}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, for drivers that were not started with --py-files or PYTHONPATH."""
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@lru_cache(maxsize=4)
+def _shipped(application: str) -> list:
+    return []
+
+
+def _ship(application: str, context) -> None:
+    if not _shipped(application):
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='llm-')}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped(application).append(archive)
+
+
 class Scratch:
     """Tables of one run under the shared folder. They outlive lost executors and cut lineage."""
 
