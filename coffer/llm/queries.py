@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, sharding, urlfilter, wavelet
+from coffer.llm import bpe, decontaminate, htmltext, sharding, urlfilter, voronoi, wavelet
 from coffer.llm.shared import Scratch, ship
 
 #: (verdict, host, path)
@@ -57,6 +57,16 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"), rules).drop("url")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = htmltext.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op5_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = voronoi.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return voronoi.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{Scratch(spark, 'tokens').root}/ids"
     wavelet.write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -78,6 +88,8 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_url_filter": op3_url_filter,
+    "op4_html_text": op4_html_text,
+    "op5_voronoi_knn": op5_voronoi_knn,
     "op6_token_matrix": op6_token_matrix,
     "op8_byte_bpe": op8_byte_bpe,
 }
@@ -110,4 +122,15 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op5_voronoi_knn": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len([x for x in embedding if isfinite(x)])
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
 }
