@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, htmltext, sharding, urlfilter, voronoi, wavelet
+from coffer.llm import bpe, decontaminate, htmltext, jaccard, sharding, urlfilter, voronoi, wavelet
 from coffer.llm.shared import Scratch, ship
 
 #: (verdict, host, path)
@@ -73,6 +73,10 @@ def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents_of(wavelet.read_shards(spark, folder))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
@@ -91,6 +95,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_voronoi_knn": op5_voronoi_knn,
     "op6_token_matrix": op6_token_matrix,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
