@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, htmltext, jaccard, sharding, urlfilter, voronoi, wavelet
+from coffer.llm import bpe, decontaminate, htmltext, jaccard, quality, sharding, suffixes, urlfilter, voronoi, wavelet
 from coffer.llm.shared import Scratch, ship
 
 #: (verdict, host, path)
@@ -88,6 +88,24 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    good = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
+    return scores.select("doc_id", quality.held_out().alias("held_out"), "score", good.alias("predicted"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -97,6 +115,8 @@ QUERIES = {
     "op6_token_matrix": op6_token_matrix,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality": op9_quality,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
