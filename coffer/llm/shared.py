@@ -70,23 +70,39 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def filter_words(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of hashed ids: FILTER_BITS bits at most, whatever the number of ids.
+def filter_table(ids: DataFrame, column: str) -> DataFrame:
+    """Words (word, bits) of a bitmap of hashed ids: FILTER_BITS / 64 rows at most, whatever the number of ids.
 
     A set bit says "perhaps", so users follow it with an exact join; it only spares moving rows that cannot match.
     """
-    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    words = (
-        ids.select(bit.alias("bit"))
+    return (
+        ids.select(filter_bit(column).alias("bit"))
         .groupBy((F.col("bit") / 64).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
     )
-    found = words.toPandas()
+
+
+def filter_words(ids: DataFrame, column: str) -> np.ndarray:
+    """The bitmap of filter_table() on the driver, for tasks in Python."""
+    found = filter_table(ids, column).toPandas()
     bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return bitmap.view(np.uint64)
 
 
+def without(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of docs whose column is in no row of ids; NULL never is.
+
+    Rows that the fixed-size filter rules out stay where they are; only the others move to an exact anti join.
+    """
+    bit = filter_bit(column)
+    words = F.broadcast(filter_table(ids, column).withColumnsRenamed({"word": "_word", "bits": "_bits"}))
+    marked = docs.join(words, (bit / 64).cast("int") == F.col("_word"), "left")
+    perhaps = F.coalesce(F.col("_bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))) != 0, F.lit(False))
+    doubtful = marked.where(perhaps).drop("_word", "_bits").join(ids.select(column), column, "left_anti")
+    return marked.where(~perhaps).drop("_word", "_bits").select(docs.columns).union(doubtful.select(docs.columns))
+
+
 def may_contain(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """Which of the given bit numbers (pmod(xxhash64(id), FILTER_BITS)) are set."""
     return (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coffer.llm.rolling import SLICE, VALUES, U, mixed, parts, powers, utf8
 from coffer.llm.shared import Scratch, filter_bit, filter_words, may_contain
@@ -187,15 +188,15 @@ def _ranked(places: DataFrame) -> DataFrame:
 
 
 def _with_filter(docs: DataFrame, bitmap, inside: bool) -> DataFrame:
-    """Documents whose id may (or surely does not) belong to the filter's ids."""
+    """Documents whose doc may (or surely does not) belong to the filter's ids."""
 
     def run(batches):
         for batch in batches:
-            perhaps = may_contain(bitmap.value, batch.column(2).to_numpy(zero_copy_only=False))
+            perhaps = may_contain(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))
             some = batch.filter(pa.array(perhaps if inside else ~perhaps))
-            yield pa.RecordBatch.from_arrays(some.columns[:2], ["doc", "text"])
+            yield pa.RecordBatch.from_arrays(some.columns[1:], some.schema.names[1:])
 
-    return docs.select("doc", "text", filter_bit("doc").alias("bit")).mapInArrow(run, "doc bigint, text string")
+    return docs.select(filter_bit("doc").alias("_bit"), *docs.columns).mapInArrow(run, docs.schema)
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -235,27 +236,37 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return runs.union(spans).union(strings)
 
 
-def _cut(batches):
-    kept = pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
-    for batch in batches:
-        rows = []
-        for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            text = (text or "").encode()
-            if not found:
-                rows.append((doc, len(text), text, [], []))
-                continue
-            pairs = np.array([(s["start"], s["end"]) for s in found], np.int64)
-            _, start, end = _joined(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
-            edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(text)]
-            left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            rows.append((doc, len(text), left, start.tolist(), end.tolist()))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kept.types, strict=True)], schema=kept)
-
-
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, kept (the remaining bytes), starts and ends of the maximal removed runs, for every row.
+def _cut(as_text: bool):
+    """Texts without their spans: n_bytes, kept, starts and ends in place of the spans."""
+    kind = pa.string() if as_text else pa.binary()
+    out = pa.schema([("n_bytes", pa.int64()), ("kept", kind), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
+                text = (text or "").encode()
+                start = end = np.zeros(0, np.int64)
+                if found:
+                    pairs = np.minimum(np.array([(s["start"], s["end"]) for s in found], np.int64), len(text))
+                    pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+                    if len(pairs):
+                        _, start, end = _joined(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
+                edges = [0, *np.stack([start, end], axis=1).ravel().tolist(), len(text)]
+                left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                rows.append((len(text), left.decode(errors="ignore") if as_text else left, start.tolist(), end.tolist()))
+            new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)] if rows else [pa.array([], t) for t in out.types]
+            carried = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name not in ("text", "found")]
+            names = [n for n in batch.schema.names if n not in ("text", "found")] + out.names
+            yield pa.RecordBatch.from_arrays([*carried, *new], names)
+
+    return run
+
+
+def without_repeats(docs: DataFrame, carried: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """doc_id, the carried columns, n_bytes, kept, starts and ends of the maximal removed runs, for every row.
+
+    kept is what remains: bytes, or as_text a string, in which bytes of a character that a run cut in two are left out.
     Texts are UTF-8 bytes and judged on the input; NULL is empty. Rows that share a doc_id have one set of spans, cut
     at each text's end. Rows without doc_id neither lose bytes nor cost others any. Other columns are left out.
 
@@ -265,12 +276,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     are the same in every task, so no ranks are sent back between rounds.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    spans = scratch.table(repeated_spans(docs, scratch), "spans")
+    extra = {f"_{i}": name for i, name in enumerate(carried)}
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", *[F.col(name).alias(i) for i, name in extra.items()])
+    spans = scratch.table(repeated_spans(docs.select("doc", "text"), scratch), "spans")
     grouped = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(spans.select("doc").distinct(), "doc"))
     # Only texts that may have spans move to meet them.
     touched = _with_filter(docs, bitmap, True).join(grouped, "doc", "left")
-    others = _with_filter(docs, bitmap, False).select("doc", "text", F.lit(None).cast(touched.schema["found"].dataType).alias("found"))
-    schema = "doc bigint, n_bytes bigint, kept binary, starts array<bigint>, ends array<bigint>"
-    return touched.union(others).mapInArrow(_cut, schema).withColumnRenamed("doc", "doc_id")
+    others = _with_filter(docs, bitmap, False).withColumn("found", F.lit(None).cast(touched.schema["found"].dataType))
+    whole = touched.select("doc", *extra, "text", "found").union(others.select("doc", *extra, "text", "found"))
+    new = f"n_bytes bigint, kept {'string' if as_text else 'binary'}, starts array<bigint>, ends array<bigint>"
+    schema = T.StructType([*whole.drop("text", "found").schema, *T.StructType.fromDDL(new)])
+    return whole.mapInArrow(_cut(as_text), schema).withColumnsRenamed({"doc": "doc_id"} | extra)

@@ -4,25 +4,69 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coffer.llm import bpe
-from coffer.llm.shared import Scratch
+from coffer.llm import bpe, decontaminate, jaccard, quality, suffixes
+from coffer.llm.shared import Scratch, ship, without
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold; the classifier learns from the labelled ones among docs."""
+    ship(spark)
+    weights = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs, weights).where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest doc_id."""
+    ship(spark)
+    groups = jaccard.near_duplicates(docs)
+    return without(docs, groups.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id")
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has; n_chars follows. Every document stays."""
+    ship(spark)
+    carried = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = suffixes.without_repeats(docs, carried, as_text=True)
+    text = F.col("kept").alias("text")
+    columns = {"text": text, "n_chars": F.char_length("kept").cast("long").alias("n_chars")}
+    return cut.select(*[columns.get(c, F.col(c)) for c in docs.columns])
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    ship(spark)
+    found = decontaminate.hits(docs, _table(spark, sf_dir, "benchmark"))
+    return without(docs, found.where(F.size("spans") > 0).select("doc_id").distinct(), "doc_id")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, as little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    """doc_id, n_tokens and ids of what is left; ids are little-endian unsigned 32-bit integers."""
+    ship(spark)
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("quality", good_quality),
+    ("near_copies", one_of_near_copies),
+    ("repeated_passages", without_repeated_passages),
+    ("leaks", without_leaks),
+    ("tokens", tokens),
+]
 
-#: Model training, suffix ranks and BPE have no SQL form.
+#: Model training, suffix ranks and byte-pair merges have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = scratch.table(stage(spark, docs, sf_dir), name)
