@@ -6,20 +6,22 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coffer.llm.components import connected_components
 from coffer.llm.rolling import FACTOR, U, mixed, utf8, word_hashes
-from coffer.llm.shared import Scratch, filter_bit, filter_words, may_contain
+from coffer.llm.shared import Scratch, perhaps_in
 
 WORDS = 5
 #: Two sets are linked when 100 * shared >= 75 * all, that is 4 * shared >= 3 * all.
 NUMERATOR, DENOMINATOR = 3, 4
 #: Shingles whose counts order the sets; a bound on what is broadcast. The order decides only how much work is skipped.
-KNOWN_COUNTS = 1 << 18
+KNOWN_COUNTS = 1 << 20
 #: Shingles counted together in a task.
-COUNTED = 1 << 22
+COUNTED = 1 << 21
+#: Rows that a task hands on at a time.
+HANDED = 1 << 19
 #: Sizes of linked sets differ by a factor of 4 / 3 at most, so by one block at most.
 BLOCK_LOG = math.log(DENOMINATOR / NUMERATOR) * 1.0001
 
@@ -86,15 +88,12 @@ def _summaries(batches):
         yield counted()
 
 
-def _postings(known: np.ndarray, counts: np.ndarray):
+def _postings(shared):
     """Rows (shingle, doc, n, pos) of each set's prefix: its n - ceil(3 n / 4) + 1 first shingles in the common order,
     rare before frequent, then by hash. Linked sets share one in their prefixes. Equal sets of a task come once."""
-    # A coarse look-up spares the search for most shingles.
-    coarse = np.zeros(1 << 22, bool)
-    coarse[(known & U((1 << 22) - 1)).astype(np.int64)] = True
     out = pa.schema([("shingle", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
-    def ordered_prefix(grams: np.ndarray) -> np.ndarray:
+    def ordered_prefix(grams: np.ndarray, known: np.ndarray, counts: np.ndarray, coarse: np.ndarray) -> np.ndarray:
         n = len(grams)
         length = n - -(-NUMERATOR * n // DENOMINATOR) + 1
         frequent = np.flatnonzero(coarse[(grams & U((1 << 22) - 1)).astype(np.int64)])
@@ -107,10 +106,24 @@ def _postings(known: np.ndarray, counts: np.ndarray):
         rest = frequent[np.lexsort((grams[frequent], count))]
         return np.concatenate([grams[rare], grams[rest]])[:length]
 
+    def rows(kept):
+        lengths = [len(p) for _, _, p in kept]
+        columns = [
+            np.concatenate([p for _, _, p in kept]).view(np.int64),
+            np.repeat(np.array([d for d, _, _ in kept], np.int64), lengths),
+            np.repeat(np.array([n for _, n, _ in kept], np.int32), lengths),
+            np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=out)
+
     def run(batches):
-        seen = set()
+        known, counts = shared.value
+        # A coarse look-up spares the search for most shingles.
+        coarse = np.zeros(1 << 22, bool)
+        coarse[(known & U((1 << 22) - 1)).astype(np.int64)] = True
+        seen, kept, held = set(), [], 0
         for batch in batches:
-            ids, kept = _ids(batch), []
+            ids = _ids(batch)
             for row, grams in document_sets(batch):
                 if not len(grams) or ids[row] is None:
                     continue
@@ -118,16 +131,13 @@ def _postings(known: np.ndarray, counts: np.ndarray):
                 if name in seen:
                     continue
                 seen.add(name)
-                kept.append((ids[row], len(grams), ordered_prefix(grams)))
-            if kept:
-                lengths = [len(p) for _, _, p in kept]
-                columns = [
-                    np.concatenate([p for _, _, p in kept]).view(np.int64),
-                    np.repeat(np.array([d for d, _, _ in kept], np.int64), lengths),
-                    np.repeat(np.array([n for _, n, _ in kept], np.int32), lengths),
-                    np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=out)
+                kept.append((ids[row], len(grams), ordered_prefix(grams, known, counts, coarse)))
+                held += len(kept[-1][2])
+                if held > HANDED:
+                    yield rows(kept)
+                    kept, held = [], 0
+        if kept:
+            yield rows(kept)
 
     return run
 
@@ -183,22 +193,49 @@ def _possible(n1: str, pos1: str, n2: str, pos2: str) -> Column:
     return sizes & (rest * (NUMERATOR + DENOMINATOR) >= (a + b) * NUMERATOR)
 
 
-def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(doc, items) of the documents in needed, from their texts; a filter of fixed size spares moving the others."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(needed, "doc"))
-    out = pa.schema([("doc", pa.int64()), ("items", pa.binary())])
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """A bitmap of at least two bits an element: bit h mod size for each hash h. Bitmaps of other sizes fold into it."""
+    size = max(64, 1 << (2 * len(grams) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(grams & U(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def _at_most(x: np.ndarray, n_x: int, y: np.ndarray, n_y: int) -> int:
+    """The most that two sets can share, by their sketches: what only one sketch has is not shared."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    only_x, only_y = (int(np.bitwise_count(z).sum()) for z in (x & ~y, y & ~x))
+    return min(n_x - only_x, n_y - only_y)
+
+
+def _sets(docs: DataFrame, needed: DataFrame, whole: bool) -> DataFrame:
+    """(doc, n, sketch or items) of the documents in needed, from their texts. No texts move: a filter of fixed size
+    stands for needed; it may let some others pass, which meet no pair."""
+    name = "items" if whole else "sketch"
+    out = pa.schema([("doc", pa.int64()), ("n", pa.int32()), (name, pa.binary())])
 
     def run(batches):
         for batch in batches:
-            perhaps = may_contain(bitmap.value, batch.column(2).to_numpy(zero_copy_only=False))
-            some = batch.filter(pa.array(perhaps))
-            ids = _ids(some)
-            rows = [(ids[row], grams.tobytes()) for row, grams in document_sets(some)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                ids = _ids(part)
+                rows = [(ids[row], len(g), (g if whole else sketch(g)).tobytes()) for row, g in document_sets(part) if len(g)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
+
+    likely = perhaps_in(docs.where("doc is not null").select("doc", "text"), needed, "doc", "_needed").where("_needed")
+    return likely.select("doc", "text").mapInArrow(run, f"doc bigint, n int, {name} binary")
 
-    read = docs.where("doc is not null").select("doc", "text", filter_bit("doc").alias("bit"))
-    return read.mapInArrow(run, "doc bigint, items binary").join(needed, "doc", "left_semi")
+
+def _promising(batches):
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for batch in batches:
+        keep = []
+        for x, n_x, y, n_y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+            most = _at_most(np.frombuffer(x, np.uint8), n_x, np.frombuffer(y, np.uint8), n_y)
+            keep.append(DENOMINATOR * most >= NUMERATOR * (n_x + n_y - most))
+        yield pa.RecordBatch.from_arrays(batch.select([0, 1]).filter(pa.array(keep, pa.bool_())).columns, schema=out)
 
 
 def _shared(batches):
@@ -215,21 +252,30 @@ def _shared(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, n_a, n_b) of each pair, from the whole sets."""
-    left = sets.select(F.col("doc").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("doc").alias("b"), F.col("items").alias("y"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return met.mapInArrow(_shared, "a bigint, b bigint, shared int, n_a int, n_b int")
+def _with_ends(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("doc").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+    return pairs.select("a", "b", *[f"{c}_{end}" for end in ("a", "b") for c in columns])
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b, shared, n_a, n_b) of the pairs whose sketches allow a link, from their whole sets."""
+    allowed = _with_ends(pairs, sketches, "sketch", "n").mapInArrow(_promising, "a bigint, b bigint")
+    allowed = scratch.table(allowed, "allowed")
+    needed = allowed.select(F.col("a").alias("doc")).union(allowed.select("b")).distinct()
+    sets = scratch.table(_sets(docs, needed, True), "sets")
+    return _with_ends(allowed, sets, "items").mapInArrow(_shared, "a bigint, b bigint, shared int, n_a int, n_b int")
 
 
 LINKED = f"{DENOMINATOR} * shared >= {NUMERATOR} * (n_a + n_b - shared)"
 
 
-def _named(lists: DataFrame, copies: DataFrame, column: str) -> DataFrame:
-    """lists with documents replaced by the first document that has the same set."""
-    as_ = copies.select(F.col("doc").alias(column), F.col("first").alias("_first"))
-    return lists.join(as_, column, "left").withColumn(column, F.coalesce("_first", column)).drop("_first")
+def _of_first(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the first documents that have the same sets, each once."""
+    for end in ("a", "b"):
+        first = copies.select(F.col("doc").alias(end), F.col("first").alias("_first"))
+        pairs = pairs.join(first, end, "left").withColumn(end, F.coalesce("_first", end)).drop("_first")
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _remaining(lists: DataFrame, components: DataFrame, known: DataFrame) -> DataFrame:
@@ -240,10 +286,14 @@ def _remaining(lists: DataFrame, components: DataFrame, known: DataFrame) -> Dat
     """
     member = components.select(F.col("node").alias("doc"), "component")
     rows = lists.join(member, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed_lists = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rows = rows.join(mixed_lists.select("shingle"), "shingle", "left_semi")
-    distance = known.select(F.col("a").alias("c_doc"), F.col("b").alias("doc"), (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("_far"))
-    rows = rows.join(distance, ["c_doc", "doc"], "left").withColumn("far", F.when(F.col("c_doc") == F.col("doc"), 0.0).otherwise(F.col("_far"))).drop("_far")
+    whole = Window.partitionBy("shingle")
+    rows = rows.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)})
+    rows = rows.where("low <> high").drop("low", "high")
+    distance = (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("_far")
+    ends = [F.col("a").alias("c_doc"), F.col("b").alias("doc")], [F.col("b").alias("c_doc"), F.col("a").alias("doc")]
+    distances = known.select(*ends[0], distance).union(known.select(*ends[1], distance))
+    rows = rows.join(distances, ["c_doc", "doc"], "left")
+    rows = rows.withColumn("far", F.when(F.col("c_doc") == F.col("doc"), 0.0).otherwise(F.col("_far"))).drop("_far")
     names = ["doc", "n", "pos", "component", "c_doc", "far"]
     small = rows.select("shingle", "block", *[F.col(c).alias(f"{c}_1") for c in names])
     large = rows.select(
@@ -259,11 +309,29 @@ def _remaining(lists: DataFrame, components: DataFrame, known: DataFrame) -> Dat
     return met.select(F.col("doc_1").alias("a"), F.col("doc_2").alias("b")).distinct()
 
 
-def _ordered_lists(spark: SparkSession, docs: DataFrame, summaries: DataFrame) -> DataFrame:
-    counts = summaries.where("n < 0").groupBy("a").agg(F.sum(-F.col("n")).alias("count")).orderBy(F.desc("count"), "a").limit(KNOWN_COUNTS).toPandas()
-    shingle, count = counts["a"].to_numpy(np.int64).view(U), counts["count"].to_numpy(np.int64)
+def _known_counts(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles and their counts, sorted by shingle: KNOWN_COUNTS at most.
+
+    The bound is kept by a least count, found from sums over steps of counts, so only what is kept comes to the driver.
+    """
+    counts = summaries.where("n < 0").groupBy("a").agg(F.sum(-F.col("n")).alias("count"))
+    counts = counts.withColumn("step", F.floor(8 * F.log2("count")).cast("int"))
+    steps = sorted(((r["step"], r["rows"]) for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+    least, total = 1 << 30, 0
+    for step, rows in steps:
+        total += rows
+        if total > KNOWN_COUNTS:
+            break
+        least = step
+    kept = counts.where(F.col("step") >= least).select("a", F.least("count", F.lit(1 << 30)).cast("int").alias("count")).toArrow()
+    shingle = kept["a"].to_numpy().view(U)
     order = np.argsort(shingle)
-    prefix = docs.select("doc", "text").mapInArrow(_postings(shingle[order], count[order]), "shingle bigint, doc bigint, n int, pos int")
+    return shingle[order], kept["count"].to_numpy()[order]
+
+
+def _ordered_lists(spark: SparkSession, docs: DataFrame, summaries: DataFrame) -> DataFrame:
+    known = spark.sparkContext.broadcast(_known_counts(summaries))
+    prefix = docs.select("doc", "text").mapInArrow(_postings(known), "shingle bigint, doc bigint, n int, pos int")
     return prefix.repartition("shingle").sortWithinPartitions("shingle", "n", "doc").mapInArrow(_lists, LISTS)
 
 
@@ -289,16 +357,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = nodes.where("n > 0 and doc is not null")
     first = named.groupBy("a", "b", "n").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     copies = scratch.table(named.join(first, ["a", "b", "n"]).where("doc <> first").select("doc", "first").distinct(), "copies")
-    lists = scratch.table(_named(_named(lists, copies, "doc"), copies, "c_doc").distinct(), "named")
-    needed = scratch.table(lists.select("doc").union(lists.select("c_doc")).distinct(), "needed")
-    sets = scratch.table(_sets(docs, needed), "sets")
+    needed = lists.select("doc").distinct().union(copies.select("first").distinct())
+    sketches = scratch.table(_sets(docs, needed, False), "sketches")
 
     stars = lists.where("c_doc <> doc").where(_possible("c_n", "c_pos", "n", "pos"))
-    near = scratch.table(_verified(stars.select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct(), sets), "near")
+    stars = _of_first(stars.select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct(), copies)
+    near = scratch.table(_verified(docs, stars, sketches, scratch), "near")
     links = near.where(LINKED).select("a", "b").union(copies.select("doc", "first"))
     components = scratch.table(connected_components(links, scratch), "components")
 
-    rest = _verified(scratch.table(_remaining(lists, components, near), "rest"), sets).where(LINKED).select("a", "b")
+    rest = _of_first(_remaining(lists, components, near), copies)
+    rest = _verified(docs, rest, sketches, scratch).where(LINKED).select("a", "b")
     joined = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     components = connected_components(joined.union(rest), scratch)
     return nodes.join(components, F.col("doc") == F.col("node"), "left").select(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
 from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +56,9 @@ class Scratch:
         self.made += 1
         path = f"{self.root}/{self.made:03d}-{name}"
         df.write.parquet(path)
+        # Shuffle files of a finished step go when the driver collects its garbage; else they pile up step by step.
+        gc.collect()
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, table: DataFrame) -> None:
@@ -82,12 +85,13 @@ def filter_table(ids: DataFrame, column: str) -> DataFrame:
     )
 
 
-def filter_words(ids: DataFrame, column: str) -> np.ndarray:
-    """The bitmap of filter_table() on the driver, for tasks in Python."""
-    found = filter_table(ids, column).toPandas()
-    bitmap = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return bitmap.view(np.uint64)
+def perhaps_in(docs: DataFrame, ids: DataFrame, column: str, flag: str) -> DataFrame:
+    """docs with a column that is false only where the filter of ids rules the row out. No row moves."""
+    bit = filter_bit(column)
+    words = F.broadcast(filter_table(ids, column).withColumnsRenamed({"word": "_word", "bits": "_bits"}))
+    marked = docs.join(words, (bit / 64).cast("int") == F.col("_word"), "left")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    return marked.select(*docs.columns, F.coalesce(F.col("_bits").bitwiseAND(mask) != 0, F.lit(False)).alias(flag))
 
 
 def without(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -95,17 +99,9 @@ def without(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 
     Rows that the fixed-size filter rules out stay where they are; only the others move to an exact anti join.
     """
-    bit = filter_bit(column)
-    words = F.broadcast(filter_table(ids, column).withColumnsRenamed({"word": "_word", "bits": "_bits"}))
-    marked = docs.join(words, (bit / 64).cast("int") == F.col("_word"), "left")
-    perhaps = F.coalesce(F.col("_bits").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))) != 0, F.lit(False))
-    doubtful = marked.where(perhaps).drop("_word", "_bits").join(ids.select(column), column, "left_anti")
-    return marked.where(~perhaps).drop("_word", "_bits").select(docs.columns).union(doubtful.select(docs.columns))
-
-
-def may_contain(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    """Which of the given bit numbers (pmod(xxhash64(id), FILTER_BITS)) are set."""
-    return (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+    marked = perhaps_in(docs, ids, column, "_perhaps")
+    doubtful = marked.where("_perhaps").select(docs.columns).join(ids.select(column), column, "left_anti")
+    return marked.where("not _perhaps").select(docs.columns).union(doubtful.select(docs.columns))
 
 
 def filter_bit(column: str) -> Column:
