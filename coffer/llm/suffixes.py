@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coffer.llm.rolling import SLICE, VALUES, U, mixed, parts, powers, utf8
-from coffer.llm.shared import Scratch, filter_bit, filter_words, may_contain
+from coffer.llm.shared import Scratch, perhaps_in
 
 #: Bytes of a string that is removed if an earlier document has it.
 LENGTH = 50
 #: Bytes of the first rank. Of the LENGTH - FIRST + 1 places inside a string the one with the least rank stands for it.
 FIRST = 18
+#: Bytes of the middle rank, half way to LENGTH.
+MIDDLE = (FIRST + LENGTH) // 2
 #: Sampled places, or strings, that a task ranks together before it hands them on.
 RANKED = 2_000_000
 
@@ -107,21 +109,22 @@ def _spans_batch(doc, start, end) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int64()), pa.array(start), pa.array(doc), pa.array(end)], schema=PLACES)
 
 
+def _handed_on(held: list):
+    """What a task has ranked: of rows with one second rank the first document's; the others' strings are repeated."""
+    first, second, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+    repeated = _earliest(second, doc) < doc
+    kept = ~repeated
+    yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (first, second, doc, place)], schema=PLACES)
+    if repeated.any():
+        at = place[repeated] >> 12
+        yield _spans_batch(doc[repeated], at - (place[repeated] >> 6 & 63), at - (place[repeated] & 63) + LENGTH)
+
+
 def _place_ranks(batches):
     """Rows (first, second, doc, place) of the sampled places of whole texts: the rank of FIRST bytes and that of all
     bytes of the run. place packs the byte offset and the run's extent before it. Of equal rows of one task only the
     first document's stay; the others' strings are known to be repeated and come as spans."""
     held, count = [], 0
-
-    def handed_on():
-        first, second, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        repeated = _earliest(second, doc) < doc
-        kept = ~repeated
-        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (first, second, doc, place)], schema=PLACES)
-        if repeated.any():
-            at = place[repeated] >> 12
-            yield _spans_batch(doc[repeated], at - (place[repeated] >> 6 & 63), at - (place[repeated] & 63) + LENGTH)
-
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         data, offsets = utf8(batch.column(1))
@@ -134,106 +137,116 @@ def _place_ranks(batches):
             held.append((gram.view(np.int64), whole.view(np.int64), ids[first_row + row], packed))
             count += len(row)
             if count > RANKED:
-                yield from handed_on()
+                yield from _handed_on(held)
                 held, count = [], 0
     if held:
-        yield from handed_on()
+        yield from _handed_on(held)
 
 
-def _string_ranks(batches):
-    """Rows (first, second, doc, place) of every string of LENGTH bytes that starts in the runs of a document: its rank,
-    and its start as place. Of equal strings of one task only the first document's stay."""
-    held, count = [], 0
+def _runs_of(text: np.ndarray, packed: list):
+    """Stretches of one text with the runs that start in them: (rolling hashes, first byte, place, first, last start)."""
+    packed = np.sort(np.array(packed, np.int64))
+    place = packed >> 12
+    low, high = place - (packed >> 6 & 63), place - (packed & 63)
+    for at in range(0, max(1, len(text) - LENGTH + 1), SLICE):
+        inside = (low >= at) & (low < at + SLICE) if len(text) > SLICE else slice(None)
+        if len(low[inside]):
+            yield _Bytes(text[at : at + SLICE + 2 * LENGTH]), at, place[inside], low[inside], high[inside]
 
-    def handed_on():
-        rank, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
-        repeated = _earliest(rank, doc) < doc
-        kept = ~repeated
-        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (rank, rank, doc, start)], schema=PLACES)
-        if repeated.any():
-            yield _spans_batch(doc[repeated], start[repeated], start[repeated] + LENGTH)
 
+def _opened(batches):
+    """(doc, runs) of the texts and places that come from a join."""
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         for row, (doc, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            text, packed = data[offsets[row] : offsets[row + 1]], np.array(packed, np.int64)
-            place = packed >> 12
-            low, high = place - (packed >> 6 & 63), place - (packed & 63)
-            order = np.argsort(low)
-            low, high = low[order], high[order]
-            for at in range(0, max(1, len(text) - LENGTH + 1), SLICE):
-                inside = (low >= at) & (low < at + SLICE)
-                if not inside.any():
-                    continue
-                lengths = (high - low + 1)[inside]
-                starts = np.repeat(low[inside] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-                rolled = _Bytes(text[at : at + SLICE + 2 * LENGTH])
-                rank = mixed(rolled.between(starts - at, starts - at + LENGTH))
-                held.append((rank.view(np.int64), np.full(len(starts), doc, np.int64), starts))
-                count += len(starts)
-                if count > RANKED:
-                    yield from handed_on()
-                    held, count = [], 0
+            for runs in _runs_of(data[offsets[row] : offsets[row + 1]], packed):
+                yield doc, *runs
+
+
+def _side_ranks(batches):
+    """Rows as in _place_ranks for MIDDLE bytes. A string that starts MIDDLE - FIRST or more before its place holds as
+    many bytes before it; any other holds them after it. So each run falls into a left and a right part."""
+    held, count = [], 0
+    reach = MIDDLE - FIRST
+    for doc, rolled, at, place, low, high in _opened(batches):
+        for first, last, start, side in (
+            (low, np.minimum(high, place - reach), place - reach, 1),
+            (np.maximum(low, place - reach + 1), high, place, 2),
+        ):
+            some = first <= last
+            if not some.any():
+                continue
+            f, e, s, p = first[some], last[some], start[some], place[some]
+            rank = mixed(rolled.between(s - at, s - at + MIDDLE) + U(side))
+            whole = mixed(rolled.between(f - at, e - at + LENGTH) + ((p - f) * 64 + (p - e)).astype(U))
+            held.append((rank.view(np.int64), whole.view(np.int64), np.full(len(p), doc, np.int64), p << 12 | (p - f) << 6 | (p - e)))
+            count += len(p)
+        if count > RANKED:
+            yield from _handed_on(held)
+            held, count = [], 0
     if held:
-        yield from handed_on()
+        yield from _handed_on(held)
 
 
-def _ranked(places: DataFrame) -> DataFrame:
-    """Places with the first document of their whole run, and the first and last of their first rank."""
-    ranked = places.repartition("first").withColumns(
-        {"earliest": F.min("doc").over(Window.partitionBy("first", "second"))}
-    )
-    by_first = Window.partitionBy("first")
-    return ranked.withColumns({"low": F.min("doc").over(by_first), "high": F.max("doc").over(by_first)})
+def _string_ranks(batches):
+    """Rows as in _place_ranks of every string of LENGTH bytes that starts in the runs: each is a run by itself."""
+    held, count = [], 0
+    for doc, rolled, at, _, low, high in _opened(batches):
+        lengths = high - low + 1
+        starts = np.repeat(low - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+        rank = mixed(rolled.between(starts - at, starts - at + LENGTH)).view(np.int64)
+        held.append((rank, rank, np.full(len(starts), doc, np.int64), starts << 12))
+        count += len(starts)
+        if count > RANKED:
+            yield from _handed_on(held)
+            held, count = [], 0
+    if held:
+        yield from _handed_on(held)
 
 
-def _with_filter(docs: DataFrame, bitmap, inside: bool) -> DataFrame:
-    """Documents whose doc may (or surely does not) belong to the filter's ids."""
+def _round(ranked: DataFrame) -> DataFrame:
+    """(doc, start, end, place) of one round: spans that are repeated, or with place the runs that stay open.
+
+    Dropped are runs whose first rank no other document has, and runs that are the first of their bytes and of their
+    first rank alone.
+    """
+    # Known spans ride along; they are spread, since they meet nothing.
+    known = F.col("first").isNull()
+    rows = ranked.select(
+        F.coalesce("first", F.xxhash64("doc", "second")).alias("first"), "second", "doc", "place", known.alias("known")
+    )
+    by_first, by_run = Window.partitionBy("first"), Window.partitionBy("first", "second")
+    rows = rows.repartition("first").withColumn("earliest", F.min("doc").over(by_run))
+    rows = rows.withColumns({"low": F.min("doc").over(by_first), "high": F.max("doc").over(by_first)})
+    at = F.shiftright("place", 12)
+    decided = F.col("known") | (F.col("doc") > F.col("earliest"))
+    start = F.when(F.col("known"), F.col("second")).otherwise(at - F.shiftright("place", 6).bitwiseAND(63))
+    end = F.when(F.col("known"), F.col("place")).otherwise(at - F.col("place").bitwiseAND(63) + LENGTH)
+    return rows.where(decided | (F.col("low") < F.col("high"))).select(
+        "doc",
+        F.when(decided, start).alias("start"),
+        F.when(decided, end).alias("end"),
+        F.when(~decided, F.col("place")).alias("place"),
+    )
 
-    def run(batches):
-        for batch in batches:
-            perhaps = may_contain(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))
-            some = batch.filter(pa.array(perhaps if inside else ~perhaps))
-            yield pa.RecordBatch.from_arrays(some.columns[1:], some.schema.names[1:])
 
-    return docs.select(filter_bit("doc").alias("_bit"), *docs.columns).mapInArrow(run, docs.schema)
+def _with_open(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, text, places) of the documents that have open runs; only texts that may have some move."""
+    opened = found.where("place is not null").groupBy("doc").agg(F.collect_list("place").alias("places"))
+    likely = perhaps_in(docs, found.where("place is not null").select("doc"), "doc", "_open").where("_open").select("doc", "text")
+    return likely.join(opened, "doc").select("doc", "text", "places")
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc, start, end): byte spans of documents (doc, text) that a string of LENGTH bytes covers which also starts in
     a document with a smaller doc. Spans may overlap; rows without doc or with fewer bytes have none."""
-    spark = docs.sparkSession
-    named = docs.where("doc is not null")
+    named = docs.where("doc is not null").select("doc", "text")
     ranks = "first bigint, second bigint, doc bigint, place bigint"
-    spread = F.coalesce("first", F.xxhash64("doc", "second"))
-    first_round = named.select("doc", "text").mapInArrow(_place_ranks, ranks)
-    first_round = _ranked(first_round.select(spread.alias("first"), "second", "doc", "place", F.col("first").isNull().alias("known")))
-    # Dropped here: places whose first rank is unique, or whose whole run is the only one of its rank.
-    marked = first_round.select(
-        "doc",
-        "second",
-        "place",
-        F.when(F.col("known"), "span").when(F.col("doc") > F.col("earliest"), "run").when(F.col("low") < F.col("high"), "open").alias("kind"),
-    ).where("kind is not null")
-    marked = scratch.table(marked, "marked")
-
-    at = F.shiftright("place", 12)
-    extent = F.shiftright("place", 6).bitwiseAND(63)
-    runs = marked.where("kind = 'run'").select("doc", (at - extent).alias("start"), (at - F.col("place").bitwiseAND(63) + LENGTH).alias("end"))
-    spans = marked.where("kind = 'span'").select("doc", F.col("second").alias("start"), F.col("place").alias("end"))
-
-    opened = marked.where("kind = 'open'").groupBy("doc").agg(F.collect_list("place").alias("places"))
-    opened = scratch.table(opened, "open")
-    bitmap = spark.sparkContext.broadcast(filter_words(opened, "doc"))
-    texts = _with_filter(named, bitmap, True).join(opened, "doc").select("doc", "text", "places")
-    second_round = texts.mapInArrow(_string_ranks, ranks)
-    second_round = second_round.select(spread.alias("first"), "second", "doc", "place", F.col("first").isNull().alias("known"))
-    earliest = second_round.repartition("first").withColumn("earliest", F.min("doc").over(Window.partitionBy("first")))
-    strings = earliest.where("known or doc > earliest").select(
-        "doc", F.when(F.col("known"), F.col("second")).otherwise(F.col("place")).alias("start"),
-        F.when(F.col("known"), F.col("place")).otherwise(F.col("place") + LENGTH).alias("end"),
-    )
-    return runs.union(spans).union(strings)
+    one = scratch.table(_round(named.mapInArrow(_place_ranks, ranks)), "round-one")
+    two = scratch.table(_round(_with_open(named, one).mapInArrow(_side_ranks, ranks)), "round-two")
+    three = scratch.table(_round(_with_open(named, two).mapInArrow(_string_ranks, ranks)), "round-three")
+    found = one.union(two).union(three).where("place is null")
+    return found.select("doc", "start", "end")
 
 
 def _cut(as_text: bool):
@@ -270,20 +283,21 @@ def without_repeats(docs: DataFrame, carried: tuple[str, ...] = (), as_text: boo
     Texts are UTF-8 bytes and judged on the input; NULL is empty. Rows that share a doc_id have one set of spans, cut
     at each text's end. Rows without doc_id neither lose bytes nor cost others any. Other columns are left out.
 
-    Rounds rank prefixes at growing offsets. Round one ranks FIRST bytes at sampled places, then the up to
-    2 * LENGTH - FIRST bytes around them; a place whose rank is unique drops out, and one whose whole run an earlier
-    document has is decided. Round two ranks the strings of LENGTH bytes in what is left. Ranks are 64-bit hashes, which
-    are the same in every task, so no ranks are sent back between rounds.
+    Rounds rank pairs of prefixes at growing offsets: FIRST, MIDDLE and LENGTH bytes. Each sorts rows by the rank of
+    that many bytes and by the rank of all bytes of their run. A run whose first rank is unique drops out, one whose
+    bytes an earlier document has is decided, and the others go on. Ranks are 64-bit hashes, which are the same in
+    every task, so no ranks are sent back between rounds; and round one samples places, of which every string of LENGTH
+    bytes has one, chosen by its bytes alone.
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
     extra = {f"_{i}": name for i, name in enumerate(carried)}
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", *[F.col(name).alias(i) for i, name in extra.items()])
-    spans = scratch.table(repeated_spans(docs.select("doc", "text"), scratch), "spans")
+    spans = repeated_spans(docs.select("doc", "text"), scratch)
     grouped = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(filter_words(spans.select("doc").distinct(), "doc"))
     # Only texts that may have spans move to meet them.
-    touched = _with_filter(docs, bitmap, True).join(grouped, "doc", "left")
-    others = _with_filter(docs, bitmap, False).withColumn("found", F.lit(None).cast(touched.schema["found"].dataType))
+    marked = perhaps_in(docs, spans.select("doc"), "doc", "_touched")
+    touched = marked.where("_touched").drop("_touched").join(grouped, "doc", "left")
+    others = marked.where("not _touched").drop("_touched").withColumn("found", F.lit(None).cast(touched.schema["found"].dataType))
     whole = touched.select("doc", *extra, "text", "found").union(others.select("doc", *extra, "text", "found"))
     new = f"n_bytes bigint, kept {'string' if as_text else 'binary'}, starts array<bigint>, ends array<bigint>"
     schema = T.StructType([*whole.drop("text", "found").schema, *T.StructType.fromDDL(new)])
