@@ -8,7 +8,9 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,7 +22,7 @@ SHARD_IDS = 1 << 21
 #: Bits between two stored ranks.
 BLOCK = 512
 MAGIC = b"WVM1"
-#: Chunks kept with their ids before the memory is emptied; some 200 bytes each.
+#: Chunks, and pieces of chunks, kept with their ids before the memory is emptied; some 200 bytes each.
 MEMORY = 400_000
 #: White space besides the single space and the line feed.
 OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -143,35 +145,43 @@ def chunks(text: str) -> list[str]:
 
 
 class Encoder:
-    """ids of whole texts by the tokenizers library, which is asked once for each different chunk.
+    """ids of whole texts by the tokenizers library, which is asked once for each different piece.
 
     A text is cut at single spaces between other characters; there, no piece of byte-level BPE goes across, so the
-    chunks' ids in a row are the text's. Texts that hold the string of an added token are encoded whole.
+    chunks' ids in a row are the text's. A new chunk is cut by the tokenizer's pattern, and new pieces go to the
+    library together. Texts that hold the string of an added token are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.after_space: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, texts: list[str]) -> list[bytes]:
+        """ids of chunks that were not met before."""
+        cut = [self.pattern.findall(text) for text in texts]
+        if len(self.pieces) > MEMORY:
+            self.pieces.clear()
+        fresh = list(set().union(*cut).difference(self.pieces)) if cut else []
+        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
+        return [b"".join(map(self.pieces.__getitem__, c)) for c in cut]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        chunked = []
-        for text in texts:
-            if any(a in text for a in self.added):
-                chunked.append(None)
-                continue
-            first, *others = chunks(text)
-            chunked.append([first, *[" " + o for o in others]])
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        fresh = list(set().union(*filter(None, chunked)).difference(self.known))
-        for chunk, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+        parts = [None if any(a in text for a in self.added) else chunks(text) for text in texts]
+        if len(self.after_space) > MEMORY:
+            self.after_space.clear()
+        usual = [p for p in parts if p]
+        fresh = list(set().union(*[p[1:] for p in usual]).difference(self.after_space))
+        self.after_space.update(zip(fresh, self._learn([" " + c for c in fresh]), strict=True))
+        begun = iter(self._learn([p[0] for p in usual]))
         return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            if parts is None
-            else b"".join(map(self.known.__getitem__, parts))
-            for text, parts in zip(texts, chunked, strict=True)
+            next(begun) + b"".join(map(self.after_space.__getitem__, p[1:]))
+            if p
+            else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            for text, p in zip(texts, parts, strict=True)
         ]
 
 
@@ -187,7 +197,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
     A file is a Parquet row group of one row: part and number (order of the shards), doc_ids, lengths and matrix, the
     compressed wavelet matrix. Spark's commit makes the files safe against lost tasks. Ranges of doc_id go to parts;
     a part starts another shard after SHARD_IDS ids, so memory is bounded by that and the longest document. NULL and
-    empty texts have end_id alone. Rows of one doc_id follow one another by text; NULL doc_ids come first. Other
+    empty texts have end_id alone. Rows of one doc_id follow one another by a hash of their text; NULL doc_ids come first. Other
     columns are left out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -228,8 +238,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
 
     schema = f"part int, number int, n_ids bigint, doc_ids array<{kind}>, lengths array<bigint>, matrix binary"
     source = docs.select("doc_id", "text")
-    spread = source.repartitionByRange(files, "doc_id", "text") if files else source.repartitionByRange("doc_id", "text")
-    shards = spread.sortWithinPartitions("doc_id", "text").mapInArrow(run, schema)
+    by = "doc_id", F.xxhash64("text")
+    spread = source.repartitionByRange(files, *by) if files else source.repartitionByRange(*by)
+    shards = spread.sortWithinPartitions(*by).mapInArrow(run, schema)
     shards.write.option("maxRecordsPerFile", 1).option("compression", "uncompressed").parquet(folder)
 
 
