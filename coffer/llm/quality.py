@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from coffer.llm.rolling import SPACE, U, mixed, utf8, word_hashes
 
 #: Labelled rows to learn from; a bound on the training task, whatever the number of labels.
-TRAIN_ROWS = 16_384
+TRAIN_ROWS = 8_192
 BUCKETS = 1 << 18
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 0.02, 1e-6, 1e-5
