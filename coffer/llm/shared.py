@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Bits of the membership filter; fixed, so what is sent to executors never grows with the data.
 FILTER_BITS = 1 << 26
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,8 +56,16 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self.made += 1
         path = f"{self.root}/{self.made:03d}-{name}"
-        df.write.parquet(path)
-        # Shuffle files of a finished step go when the driver collects its garbage; else they pile up step by step.
+        # Shuffle files of a finished step go with it; else they pile up step by step.
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(CLEANUP)
+            else:
+                self.spark.conf.set(CLEANUP, before)
         gc.collect()
         self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
