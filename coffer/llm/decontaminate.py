@@ -64,9 +64,11 @@ def fingerprints(hashes: Column, short: tuple[int, ...] = ()) -> Column:
 
     none = F.expr("cast(array() as array<struct<print:bigint,at:int,words:int>>)")
     parts = [F.when(F.size(hashes) >= WINDOW, let(_grams(hashes, GRAM), winnowed)).otherwise(none)]
-    for size in short:
-        every = let(_grams(hashes, size), lambda grams, n=size: F.transform(grams, lambda x, i: _print(x, i, n)))
-        parts.append(F.when(F.size(hashes) >= size, every).otherwise(none))
+
+    def every(size: int) -> Column:
+        return let(_grams(hashes, size), lambda grams: F.transform(grams, lambda x, i: _print(x, i, size)))
+
+    parts += [F.when(F.size(hashes) >= size, every(size)).otherwise(none) for size in short]
     return F.concat(*parts)
 
 
