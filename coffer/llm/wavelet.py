@@ -169,16 +169,29 @@ class Encoder:
             self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
         return [b"".join(map(self.pieces.__getitem__, c)) for c in cut]
 
+    def _known(self, parts: list[str]) -> bytes | None:
+        """ids of the chunks after the first, if none of them is new."""
+        try:
+            return b"".join(map(self.after_space.__getitem__, parts[1:]))
+        except KeyError:
+            return None
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [None if any(a in text for a in self.added) else chunks(text) for text in texts]
         if len(self.after_space) > MEMORY:
             self.after_space.clear()
         usual = [p for p in parts if p]
-        fresh = list(set().union(*[p[1:] for p in usual]).difference(self.after_space))
-        self.after_space.update(zip(fresh, self._learn([" " + c for c in fresh]), strict=True))
+        # Most texts have known chunks only, so they are looked up at once; the others' new chunks are learnt together.
+        tails = [self._known(p) for p in usual]
+        later = [p for p, tail in zip(usual, tails, strict=True) if tail is None]
+        if later:
+            fresh = list(set().union(*[p[1:] for p in later]).difference(self.after_space))
+            self.after_space.update(zip(fresh, self._learn([" " + c for c in fresh]), strict=True))
+            tails = [self._known(p) if tail is None else tail for p, tail in zip(usual, tails, strict=True)]
+        rest = iter(tails)
         begun = iter(self._learn([p[0] for p in usual]))
         return [
-            next(begun) + b"".join(map(self.after_space.__getitem__, p[1:]))
+            next(begun) + next(rest)
             if p
             else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             for text, p in zip(texts, parts, strict=True)
