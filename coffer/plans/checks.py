@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from coffer.functions.json_text import scalar_sql
 from coffer.operators.lines import REFERENCES, SOURCE_TABLES, documents, linked_payments, parsed_lines
-from coffer.schemas import CLIENT
+from coffer.schemas import CLIENT, RAW_COLUMNS
 
 _PAYMENTS = tuple(tables for tables in SOURCE_TABLES.values() if len(tables) == 2)
 
@@ -54,21 +54,45 @@ def _payment_problems(paid, table):
 
 def _zero_totals(ledger, paid, table):
     """Documents of total zero that something was paid on."""
-    zero = documents(ledger, table).filter("CAST(TotalAmt AS DOUBLE) = 0").drop("lines")
+    total = "try_cast(CAST(TotalAmt AS STRING) AS DOUBLE)"
+    zero = documents(ledger, table).filter(f"{total} = 0").drop("lines")
     zero_paid = zero.join(paid, [CLIENT, "document_id"], "left_semi")
     return _report(zero_paid, table, TotalAmt=_flag("TRUE"))
 
 
+def _bad_totals(ledger, paid, table):
+    """Documents that something was paid on and whose total is no number."""
+    bad = documents(ledger, table).filter(_unparsable("TotalAmt", "double")).drop("lines")
+    return _report(
+        bad.join(paid, [CLIENT, "document_id"], "left_semi"), table, unparsable_TotalAmt=_flag("TRUE")
+    )
+
+
+def _bad_booleans(ledger, table, column):
+    """Stored values that are no boolean; read as they are, since reading the table casts them."""
+    return _report(
+        ledger.in_scope(ledger.raw(table)), table, **{column: _flag(_unparsable(f"`{column}`", "boolean"))}
+    )
+
+
 def client_problems(ledger):
     """Rows that would fail a refresh: client, table, problem and how many.
 
     Checks what the strict casts and the division would raise on: dates, amounts of
-    lines that carry a reference, paid amounts, and zero totals of paid documents.
+    lines that carry a reference, paid amounts, booleans, and totals of paid documents
+    that are zero or no number.
     """
-    checks = [_line_problems(ledger, table) for table in REFERENCES]
+    checks = [
+        _bad_booleans(ledger, table, column)
+        for table, columns in RAW_COLUMNS.items()
+        for column, kind in columns.items()
+        if kind == "boolean"
+    ]
+    checks += [_line_problems(ledger, table) for table in REFERENCES]
     for payments_table, documents_table in _PAYMENTS:
         paid = linked_payments(ledger, payments_table)
         checks.append(_payment_problems(paid, payments_table))
+        checks.append(_bad_totals(ledger, paid, documents_table))
         if ledger.on_zero_total == "raise":
             checks.append(_zero_totals(ledger, paid, documents_table))
     return reduce(lambda a, b: a.unionByName(b), checks)

@@ -14,10 +14,7 @@ from coffer.plans.checks import client_problems
 from coffer.schemas import CLIENT
 from coffer.sinks.snapshots import layer_path, read_snapshot, write_snapshot
 from coffer.sinks.views import register_views
-
-# Up to this many failing clients are left out by name, which prunes their
-# partitions; more are left out by an anti join.
-EXCLUDED_BY_NAME = 1000
+from coffer.sources.ledger import by_client
 
 BLEND = "materialized_pl_budget_blend"
 COMMENTS = "financial_comments"
@@ -39,7 +36,8 @@ def refresh(
 
     A client whose inputs fail the checks keeps its previous rows and is reported;
     the others go ahead.  Clients that are not part of this refresh (left out by
-    ``ledger.clients``, or without accounts) keep their previous rows too.
+    ``ledger.clients``, or with neither accounts nor a sheet) keep their previous rows
+    too.  A client with a sheet and no accounts has its budget without attributes.
     """
     spark = ledger.spark
     problems_path = layer_path(output_root, "staging", PROBLEMS)
@@ -52,34 +50,23 @@ def refresh(
         # Written once: the exclusions below read the result, not the checks again.
         write_snapshot(client_problems(ledger), problems_path, partition_by=())
         problems = read_snapshot(spark, problems_path)
-        ledger = _without(ledger, problems)
+        ledger = ledger.with_options(excluded=problems.select(CLIENT).distinct())
 
-    refreshed = ledger.table("accounts").select(CLIENT).distinct()
+    sheet = ledger.in_scope(sheet)
+    refreshed = ledger.table("accounts").select(CLIENT).union(sheet.select(CLIENT)).distinct()
     budget = budget_long(
-        stage_budget(
-            sheet.join(refreshed, CLIENT, "left_semi"), start, n_months, ledger.amount_type
-        ),
-        ledger.table("accounts"),
+        stage_budget(sheet, start, n_months, ledger.amount_type), ledger.table("accounts")
     )
     if previous is None:
         result = blend(pnl_rows(ledger), budget)
     else:
-        ours = previous.join(refreshed, CLIENT, "left_semi")
-        others = previous.join(refreshed, CLIENT, "left_anti")
+        ours = by_client(previous, refreshed, "left_semi")
+        others = by_client(previous, refreshed, "left_anti")
         result = blend_refresh(ours, pnl_rows(ledger), budget, comments, mode)
         result = result.unionByName(others.select(*BLEND_COLUMNS))
     return Refreshed(write_snapshot(result.select(*BLEND_COLUMNS), blend_path), problems)
 
 
-def _without(ledger, problems):
-    """The ledger without the clients that have problems."""
-    failing = problems.select(CLIENT).distinct()
-    named = failing.limit(EXCLUDED_BY_NAME + 1).collect()
-    if len(named) > EXCLUDED_BY_NAME:
-        return ledger.with_options(excluded=failing)
-    return ledger.with_options(excluded=tuple(row[CLIENT] for row in named))
-
-
 def report_frames(ledger, sheet, output_root, start="2025-01", n_months=36):
     """The named tables and views a reader queries, lazily."""
     spark = ledger.spark

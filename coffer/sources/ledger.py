@@ -10,7 +10,7 @@ from coffer.schemas import CLIENT, RAW_COLUMNS
 from coffer.sources.catalog import table_exists
 
 
-def conform(df, table):
+def conform(df, table, cast="CAST"):
     """Project a raw frame onto the columns the engine uses, with their types.
 
     Column names match without regard to case.  A missing column raises here,
@@ -25,7 +25,7 @@ def conform(df, table):
     for name, kind in wanted.items():
         found = stored[name.lower()]
         if kind and found.dataType.simpleString() != kind:
-            columns.append(f"CAST(`{found.name}` AS {kind}) AS {name}")
+            columns.append(f"{cast}(`{found.name}` AS {kind}) AS {name}")
         else:
             columns.append(f"`{found.name}` AS {name}")
     return df.selectExpr(*columns)
@@ -42,13 +42,19 @@ def stored_schema(spark, path, fmt="parquet"):
     )
 
 
+def by_client(df, clients, how):
+    """Semi or anti join on the client; a missing client is a client like any other."""
+    named = clients.select(F.col(CLIENT).alias("_named"))
+    return df.join(named, F.col(CLIENT).eqNullSafe(F.col("_named")), how)
+
+
 @dataclass(frozen=True)
 class Ledger:
     """The ten raw tables under one root, or given as frames.
 
     ``clients`` restricts every table to some clients; with data partitioned by
-    client that is partition pruning.  ``excluded`` names clients to leave out, or is
-    a frame of them.  ``amount_type`` is the type money is summed in: ``double`` as
+    client that is partition pruning.  ``excluded`` is a frame of clients to leave
+    out.  ``amount_type`` is the type money is summed in: ``double`` as
     in the source systems, or a decimal type for sums that do not depend on order.
     ``on_zero_total`` is ``raise`` or ``null``, for documents with total zero.
     """
@@ -59,7 +65,7 @@ class Ledger:
     layout: str = "{root}/{table}"
     fmt: str = "parquet"
     frames: dict | None = None
-    excluded: DataFrame | tuple = ()
+    excluded: DataFrame | None = None
     amount_type: str = "double"
     on_zero_total: str = "raise"
     # Schemas read so far, by path: each table's files are opened for it once.
@@ -71,22 +77,25 @@ class Ledger:
     def table(self, name):
         if name not in RAW_COLUMNS:
             raise KeyError(f"unknown ledger table {name!r}")
+        # Clients go before types change.  Filters may still move below that join, so a cast
+        # that only an excluded client's row fails must not raise there.
+        cast = "CAST" if self.excluded is None else "try_cast"
+        return conform(self.in_scope(self.raw(name)), name, cast)
+
+    def raw(self, name):
+        """A table as it is stored, of all clients."""
         if self.frames and name in self.frames:
-            raw = self.frames[name]
-        else:
-            path = self.path(name)
-            if path not in self.schemas:
-                self.schemas[path] = stored_schema(self.spark, path, self.fmt)
-            raw = self.spark.read.format(self.fmt).schema(self.schemas[path]).load(path)
-        df = conform(raw, name)
+            return self.frames[name]
+        path = self.path(name)
+        if path not in self.schemas:
+            self.schemas[path] = stored_schema(self.spark, path, self.fmt)
+        return self.spark.read.format(self.fmt).schema(self.schemas[path]).load(path)
+
+    def in_scope(self, df):
+        """Rows of the clients that this ledger covers."""
         if self.clients is not None:
             df = df.filter(F.col(CLIENT).isin(*self.clients))
-        if isinstance(self.excluded, tuple):
-            if self.excluded:
-                df = df.filter(~F.col(CLIENT).isin(*self.excluded))
-        else:
-            df = df.join(self.excluded.select(CLIENT).distinct(), CLIENT, "left_anti")
-        return df
+        return df if self.excluded is None else by_client(df, self.excluded, "left_anti")
 
     def has(self, name):
         if self.frames and name in self.frames:

@@ -71,6 +71,47 @@ def test_unchecked_run_raises(spark, root):
     assert facts(spark, root) is None
 
 
+def test_client_without_a_name_fails_alone(spark, root):
+    ledger = books.ledger(
+        spark,
+        accounts=[account("a", "Income", client=k) for k in ("c", None)],
+        deposits=[("c", DAY, lines(deposit("a", 4))), (None, "soon", lines(deposit("a", 1)))],
+    )
+    outcome = refresh(ledger, sheet(spark, "a", cells=("7",)), root)
+    assert rows(outcome.problems) == [(None, "deposits", "txnDate", 1)]
+    assert actuals(spark, root) == [("c", 4.0)]
+
+
+def test_total_that_is_no_number_fails_its_client_alone(spark, root):
+    ledger = book(
+        spark, 3, bills=[("d", "1", 0.0, lines(expense("a", 1)))], bill_payments=[("d", DAY, lines(paid(1, "1")))]
+    )
+    bills = ledger.raw("bills").withColumn(
+        "TotalAmt", F.when(F.col("client") == "d", "n/a").otherwise(F.col("TotalAmt").cast("string"))
+    )
+    ledger = ledger.with_options(frames=ledger.frames | {"bills": bills})
+    outcome = refresh(ledger, both_sheets(spark), root)
+    assert rows(outcome.problems) == [("d", "bills", "unparsable_TotalAmt", 1)]
+    assert actuals(spark, root) == [("c", 3.0)]
+
+
+def test_bad_boolean_fails_its_client_alone(spark, root):
+    ledger = book(spark, 3)
+    accounts = ledger.raw("accounts").withColumn(
+        "SubAccount", F.when(F.col("client") == "d", "maybe").otherwise(F.col("SubAccount").cast("string"))
+    )
+    ledger = ledger.with_options(frames=ledger.frames | {"accounts": accounts})
+    outcome = refresh(ledger, both_sheets(spark), root)
+    assert rows(outcome.problems) == [("d", "accounts", "SubAccount", 1)]
+    assert actuals(spark, root) == [("c", 3.0)]
+
+
+def test_sheet_of_a_client_without_accounts_is_kept(spark, root):
+    refresh(book(spark, 1, clients=("c",)), both_sheets(spark), root)
+    kept = facts(spark, root).filter("client = 'd' and budget_amount != 0")
+    assert rows(kept, "client", "budget_amount") == [("d", 7.0)]
+
+
 def test_some_clients_only(spark, root):
     refresh(book(spark, 1), both_sheets(spark), root)
     refresh(book(spark, 9).with_options(clients=("c",)), both_sheets(spark), root)
