@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, htmltext, jaccard, quality, sharding, suffixes, urlfilter, voronoi, wavelet
+from coffer.llm import bpe, decontaminate, htmltext, jaccard, quality, sharding, simhash, suffixes, urlfilter, voronoi, wavelet
 from coffer.llm.shared import Scratch, ship
 
 #: (verdict, host, path)
@@ -106,6 +106,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3)
+    return found.withColumn("fingerprint", simhash.as_hex("fingerprint"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -117,6 +122,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_simhash": op11_simhash,
 }
 
 ORACLES: dict[str, str] = {
