@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, htmltext, jaccard, quality, sharding, simhash, suffixes, urlfilter, voronoi, wavelet
-from coffer.llm.shared import Scratch, ship
+from coffer.llm import bpe, decontaminate, htmltext, jaccard, periodic, quality, sharding, simhash, suffixes, urlfilter, voronoi, wavelet
+from coffer.llm.shared import Scratch, let, ship
 
 #: (verdict, host, path)
 URL_RULES = [
@@ -111,6 +111,42 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.as_hex("fingerprint"))
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten, the words from a place on repeat the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def planted(words):
+        n, g = F.size(words).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = F.lit(1).cast("long") + F.floor((n - a) / (F.lit(3) + g % 8))
+        place = let(F.struct(a.alias("a"), p.alias("p")), lambda x: F.transform(
+            words, lambda w, i: F.when(i < x["a"], w).otherwise(F.get(words, (x["a"] + (i - x["a"]) % x["p"]).cast("int")))
+        ))
+        return F.when(n > 0, F.array_join(place, " ")).otherwise("")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, planted)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapsed(_with_planted_runs(table(spark, sf_dir, "documents")))
+    # Runs come by start and period, so the first of equal exponents stays.
+    better = lambda b, r: b["length"].isNull() | (r["length"] * b["period"] > b["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda b, r: F.when(better(b, r), r).otherwise(b))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -123,6 +159,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_simhash": op11_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -164,4 +201,36 @@ ORACLES: dict[str, str] = {
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op12_periodic_runs": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_reduce(list_concat([4294967295], [ord(c) for c in string_split(doc_id::VARCHAR, '')]), lambda s, b:
+                       list_reduce(list_concat([xor(s, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z:
+                           xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))) AS c FROM documents
+        ), hashed AS (SELECT r, doc_id, w, len(w) AS n, xor(c, 4294967295) AS h FROM rows
+        ), shaped AS (
+            SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM hashed
+        ), placed AS (
+            SELECT r, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+            FROM (SELECT *, unnest(range(n)) AS i FROM shaped)
+        ), agreed AS (
+            SELECT x.r, x.i, y.i - x.i AS q FROM placed x JOIN placed y ON x.r = y.r AND x.word = y.word
+            WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n
+        ), stretches AS (
+            SELECT r, q, min(i) AS s, count(*) + q AS l
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM agreed) GROUP BY r, q, g
+            HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS (SELECT r, s, l, min(q) AS q FROM stretches GROUP BY r, s, l
+        ), listed AS (
+            SELECT r, count(*) AS k, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY r
+        ), best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY l / q DESC, s, q) = 1
+        ), kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY i) AS t
+            FROM placed ANTI JOIN (SELECT r, unnest(range(s + q, s + l)) AS i FROM runs) USING (r, i) GROUP BY r
+        )
+        SELECT d.doc_id, coalesce(k, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
+               (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256,
+               sha256(coalesce(kept.t, '')) AS collapsed_sha256
+        FROM hashed d LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+    """,
 }
