@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coffer.llm import bpe, decontaminate, htmltext, jaccard, periodic, quality, sharding, simhash, suffixes, urlfilter, voronoi, wavelet
+from coffer.llm import bpe, decontaminate, htmltext, jaccard, lexical, periodic, quality, sharding, simhash, suffixes, urlfilter, voronoi, wavelet
 from coffer.llm.shared import Scratch, let, ship
 
 #: (verdict, host, path)
@@ -147,6 +147,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -160,6 +164,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_simhash": op11_simhash,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -233,4 +238,28 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(kept.t, '')) AS collapsed_sha256
         FROM hashed d LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
     """,
+    "op13_lexical_search": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+        ), docs AS (SELECT r, doc_id, w, len(w)::BIGINT AS n FROM rows WHERE len(w) > 0
+        ), sizes AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM docs
+        ), counts AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY r, term
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM counts, sizes GROUP BY term, docs
+        ), scored AS (
+            SELECT a.item_id, d.doc_id, d.r,
+                   sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+            FROM asked a JOIN weights USING (term) JOIN counts USING (term) JOIN docs d USING (r), sizes
+            GROUP BY a.item_id, d.doc_id, d.r
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
