@@ -3,7 +3,14 @@
 from pyspark.sql import functions as F
 
 from coffer.schemas import ACCOUNT_COLUMNS, CLIENT, COMMENTS, GRAIN
-from coffer.sinks.snapshots import latest_version, read_snapshot, write_snapshot
+from coffer.sinks.snapshots import (
+    append_snapshot,
+    compact_snapshot,
+    latest_version,
+    read_snapshot,
+    stored_parts,
+    write_snapshot,
+)
 
 # The key of the literal comment join: no part null-safe, classification left out.
 LITERAL_KEY = (CLIENT, "txnDate", "parent_account", "sub_account", "child_account", "account_type")
@@ -22,10 +29,18 @@ def ensure_comments(spark, path):
     return read_snapshot(spark, path)
 
 
-def add_comments(comments, path):
-    """Append comments as a new version of the table at ``path``."""
-    current = ensure_comments(comments.sparkSession, path)
-    return write_snapshot(current.unionByName(comments.select(*current.columns)), path)
+def add_comments(comments, path, compact_after=64):
+    """Append comments to the table at ``path``: a new version that writes just them.
+
+    Stored comments stay in their files.  After ``compact_after`` appends the table is
+    rewritten as even files, so readers never list more than that many small ones.
+    """
+    spark = comments.sparkSession
+    current = ensure_comments(spark, path)
+    version = append_snapshot(comments.select(*current.columns), path)
+    if len(stored_parts(spark, path)) > compact_after:
+        version = compact_snapshot(spark, path)
+    return version
 
 
 def group_entries(blend):

@@ -4,12 +4,17 @@ from pyspark.sql import functions as F
 from books import rows
 from coffer.sinks.snapshots import (
     MARKER,
+    append_snapshot,
+    compact_snapshot,
+    current_versions,
     expire_snapshots,
     latest_version,
     layer_path,
     read_snapshot,
+    stored_parts,
     version_path,
     versions,
+    write_clients,
     write_snapshot,
 )
 from coffer.sinks.views import register_views
@@ -56,10 +61,86 @@ def test_expiry(spark, tmp_path):
     assert expire_snapshots(spark, path, keep=2) == []
 
 
+def files(path):
+    """Data files under a path with the time they were written."""
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_one_client_is_replaced_and_the_others_stay(spark, tmp_path):
+    path, plain = f"{tmp_path}/t", lambda *data: frame(spark, *[(c, n, None, None) for c, n in data])
+    write_snapshot(plain(("c", 1), ("d", 2), (None, 3), ("e/f g", 4)), path)
+    first, before = read_snapshot(spark, path), files(tmp_path)
+    assert write_clients(plain(("c", 10), ("c", 11)), path, ["c"]) == 2
+    assert rows(read_snapshot(spark, path), "client", "n") == [(None, 3), ("c", 10), ("c", 11), ("d", 2), ("e/f g", 4)]
+    after = files(tmp_path)
+    assert before.items() <= after.items() and len(after) - len(before) in (1, 2)
+    assert all("version=00000002/client=c/" in name for name in after.keys() - before.keys())
+    # Another client, the one without a name, one that has no rows any more, and a new one.
+    assert write_clients(plain((None, 30), ("g", 5)), path, [None, "g", "d"]) == 3
+    assert rows(read_snapshot(spark, path), "client", "n") == [(None, 30), ("c", 10), ("c", 11), ("e/f g", 4), ("g", 5)]
+    assert rows(current_versions(spark, path)) == [(None, 3), ("c", 2), ("d", 3), ("e/f g", 1), ("g", 3)]
+    # Earlier versions can still be read, by number and by a frame made before.
+    assert rows(first, "n") == rows(read_snapshot(spark, path, 1), "n") == [(1,), (2,), (3,), (4,)]
+    assert rows(read_snapshot(spark, path, 2), "n") == [(10,), (11,), (2,), (3,), (4,)]
+
+
+def test_replaced_clients_are_partition_filters(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_snapshot(frame(spark, ("c", 1, None, None), ("d", 2, None, None)), path)
+    write_clients(frame(spark, ("c", 3, None, None)), path, ["c"])
+    plan = read_snapshot(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "version" in plan.split("PartitionFilters")[1]
+    assert "DataFilters: []" in plan
+
+
+def test_changed_columns_need_a_whole_replacement(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_snapshot(frame(spark, ("c", 1, None, None), ("d", 2, None, None)), path)
+    changed = frame(spark, ("c", 3, None, None)).withColumn("n", F.col("n").cast("long"))
+    with pytest.raises(ValueError, match="replace the whole table"):
+        write_clients(changed, path, ["c"])
+    assert write_snapshot(changed, path) == 2
+    assert rows(read_snapshot(spark, path), "client", "n") == [("c", 3)]
+
+
+def test_first_write_and_empty_write_of_clients(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert write_clients(frame(spark, ("c", 1, None, None)), path, ["c"]) == 1
+    assert write_clients(frame(spark), path, ["c"]) == 2
+    assert read_snapshot(spark, path).count() == 0
+    assert current_versions(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_appends_keep_what_is_stored(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in range(3):
+        append_snapshot(frame(spark, ("c", n, None, None)), path)
+    assert rows(read_snapshot(spark, path), "n") == [(0,), (1,), (2,)]
+    assert rows(read_snapshot(spark, path, 2), "n") == [(0,), (1,)]
+    assert all("version=" in f and f.count("part-") == 1 for f in files(tmp_path)) and len(files(tmp_path)) == 3
+    assert compact_snapshot(spark, path) == 4 == compact_snapshot(spark, path)
+    assert rows(read_snapshot(spark, path), "n") == [(0,), (1,), (2,)] and stored_parts(spark, path) == {4: None}
+
+
+def test_expiry_keeps_what_is_pointed_to(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_snapshot(frame(spark, ("c", 1, None, None), ("d", 2, None, None), (None, 3, None, None)), path)
+    write_clients(frame(spark, ("c", 4, None, None)), path, ["c"])
+    write_clients(frame(spark, ("c", 5, None, None)), path, ["c"])
+    assert expire_snapshots(spark, path, keep=1) == [1, 2]
+    assert versions(spark, path) == [3] and versions(spark, path, complete=False) == [1, 3]
+    assert rows(read_snapshot(spark, path), "client", "n") == [(None, 3), ("c", 5), ("d", 2)]
+    assert not any("version=00000001/client=c/" in name for name in files(tmp_path))
+    assert write_clients(frame(spark, ("d", 6, None, None), (None, 7, None, None)), path, ["d", None]) == 4
+    assert expire_snapshots(spark, path, keep=1) == [3]
+    assert versions(spark, path, complete=False) == [3, 4]
+    assert rows(read_snapshot(spark, path), "client", "n") == [(None, 7), ("c", 5), ("d", 6)]
+
+
 def test_partitioned_by_client(spark, tmp_path):
     path = layer_path(str(tmp_path), "marts", "t")
     write_snapshot(frame(spark, ("c", 1, None, None), ("d", 2, None, None)), path)
-    stored = tmp_path / "layer=marts" / "t" / "v00000001"
+    stored = tmp_path / "layer=marts" / "t" / "version=00000001"
     assert {p.name for p in stored.glob("client=*")} == {"client=c", "client=d"}
     assert (stored / MARKER).exists()
     plan = read_snapshot(spark, path).filter("client = 'c'")._jdf.queryExecution().toString()
