@@ -1,5 +1,6 @@
 """Actual and budget side by side, with row ids that survive refreshes."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from coffer.functions.keys import entry_id, random_entry_id
@@ -59,79 +60,58 @@ def blend(pnl, budget, random_ids=False):
     )
 
 
-def blend_refresh(previous, pnl, budget, comments, mode="intended"):
+def blend_refresh(previous, pnl, budget, comments, mode="intended", random_ids=False):
     """Next version of the blend from its previous one.
 
     ``intended``: facts keep the id their grain had; rows that vanished stay as
     zeros while a comment points at them.  ``literal`` follows the text of the
     original query, which multiplies rows (see :func:`_refresh_literal`).
+    Random ids go to new rows only, and hold only once the result is written.
     """
-    facts = combine(pnl, budget)
     if mode == "intended":
-        return _refresh_intended(previous, facts, comments)
-    if mode == "literal":
-        return _refresh_literal(previous, facts, comments)
-    raise ValueError(f"unknown mode {mode!r}")
+        refreshed = _refresh_intended(previous, stack_facts(pnl, budget), comments)
+    elif mode == "literal":
+        refreshed = _refresh_literal(previous, combine(pnl, budget), comments)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    new_id = random_entry_id() if random_ids else entry_id()
+    return refreshed.withColumn("entry_id", F.coalesce("entry_id", new_id)).select(*BLEND_COLUMNS)
 
 
-def _refresh_intended(previous, facts, comments):
+def _refresh_intended(previous, stacked, comments):
     """One full outer join tells carried, new and vanished rows apart.
 
-    It runs on one hash of the whole grain, NULLs included, so the null-safe
-    seven-column match is an ordinary equi-join, and reads the facts once.  Each
-    grain then lists the ids it needs: the one its amounts go to, and those under
-    comments, which stay as zero rows.  That is one id per grain, unless a previous
-    version from elsewhere repeats a grain: its smallest id carries the amounts, so
-    nothing counts twice, and no comment is left without its row.
+    The whole grain is one struct column, which is both what the facts are added up
+    by and what they are joined on: fields that are NULL on both sides are equal in
+    it, and a single exchange of the facts, after their map-side sums, serves both.
+
+    The first of a grain's previous rows carries the amounts; there is one, unless a
+    version from elsewhere repeats a grain.  Rows under comments stay as zeros.
     """
+    grain = F.struct(*GRAIN).alias("grain")
+    new = stacked.groupBy(grain).agg(
+        F.sum("actual").alias("actual"), F.sum("budget_amount").alias("budget_amount"), F.lit(True).alias("is_new")
+    )
     commented = comments.select(CLIENT, "entry_id").distinct().withColumn("commented", F.lit(True))
-    # Only rows under comments are ever emitted without a new fact.
-    kept = {n: F.any_value(F.when(F.col("commented"), F.col(n)), ignoreNulls=True) for n in GRAIN}
+    by_id = Window.partitionBy("grain").orderBy("entry_id")
+    repeats = F.lag("entry_id").over(by_id).eqNullSafe(F.col("entry_id"))
     old = (
-        previous.select("entry_id", *GRAIN, "last_refreshed")
+        previous.select(CLIENT, "entry_id", "last_refreshed", grain)
         .join(commented, [CLIENT, "entry_id"], "left")
-        .groupBy(entry_id().alias("row_key"))
-        .agg(
-            *[value.alias(f"old_{name}") for name, value in kept.items()],
-            F.min("entry_id").alias("old_id"),
-            F.collect_set(F.when(F.col("commented"), F.col("entry_id"))).alias("commented_ids"),
-            F.max("last_refreshed").alias("old_refreshed"),
-        )
+        .withColumns({"nth": F.row_number().over(by_id), "repeats": repeats})
+        .filter("nth = 1 or (commented and not repeats)")
+        .select("entry_id", "last_refreshed", "commented", "nth", F.col("grain").alias("old_grain"))
     )
-    new = facts.withColumn("row_key", entry_id()).withColumn("is_new", F.lit(True))
     is_new = F.col("is_new").isNotNull()
-    active_id = F.when(is_new, F.coalesce("old_id", "row_key"))
-    none = F.array().cast("array<string>")
-    ids = F.array_union(
-        F.when(is_new, F.array(active_id)).otherwise(none), F.coalesce("commented_ids", none)
-    )
-    rows = new.join(old, "row_key", "full_outer").select(
-        F.explode(ids).alias("entry_id"),
-        active_id.alias("active_id"),
-        *[F.when(is_new, F.col(n)).otherwise(F.col(f"old_{n}")).alias(n) for n in GRAIN],
-        "actual",
-        "budget_amount",
-        "old_refreshed",
-    )
-    carries = F.col("entry_id").eqNullSafe(F.col("active_id"))
+    carries = is_new & F.coalesce(F.col("nth") == 1, F.lit(True))
+    rows = new.join(old, F.col("grain") == F.col("old_grain"), "full_outer").filter(carries | F.col("commented"))
+    place = F.coalesce("grain", "old_grain")
     return rows.select(
         "entry_id",
-        *GRAIN,
+        *[place[name].alias(name) for name in GRAIN],
         F.when(carries, F.col("actual")).otherwise(F.lit(0)).alias("actual"),
         F.when(carries, F.col("budget_amount")).otherwise(F.lit(0)).alias("budget_amount"),
-        F.when(carries, F.current_timestamp()).otherwise(F.col("old_refreshed")).alias(
-            "last_refreshed"
-        ),
-    )
-
-
-def _zeroed(rows):
-    return rows.select(
-        "entry_id",
-        *GRAIN,
-        F.lit(0).cast("int").alias("actual"),
-        F.lit(0).cast("int").alias("budget_amount"),
-        "last_refreshed",
+        F.when(carries, F.current_timestamp()).otherwise(F.col("last_refreshed")).alias("last_refreshed"),
     )
 
 
@@ -140,29 +120,43 @@ def _refresh_literal(previous, facts, comments):
 
     It matches on four columns, not all null-safe, and emits every commented row
     again as zero once per comment, so rows can multiply from run to run.
-    """
 
-    def match(old, new):
-        condition = F.lit(True)
-        for name in LITERAL_KEY:
-            condition = condition & (F.col(f"{old}.{name}") == F.col(f"{new}.{name}"))
-        for name in LITERAL_NULL_SAFE:
-            condition = condition & F.col(f"{old}.{name}").eqNullSafe(F.col(f"{new}.{name}"))
-        return condition
-
-    old, new = previous.alias("old"), facts.alias("new")
-    merged = new.join(old, match("old", "new"), "left").select(
-        F.coalesce(F.col("old.entry_id"), entry_id(*[f"new.{name}" for name in GRAIN])).alias(
-            "entry_id"
-        ),
-        *[F.col(f"new.{name}").alias(name) for name in GRAIN],
+    Facts and previous rows meet once, in a full outer join: a match or a fact alone
+    gives a row with amounts, a match or a previous row alone a zero row per comment.
+    Comments are numbered, so that a row with amounts comes out with the first only.
+    """
+    old, new = previous.alias("old"), facts.withColumn("is_new", F.lit(True)).alias("new")
+    match = F.lit(True)
+    for name in LITERAL_KEY:
+        match = match & (F.col(f"old.{name}") == F.col(f"new.{name}"))
+    for name in LITERAL_NULL_SAFE:
+        match = match & F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
+    met = new.join(old, match, "full_outer").select(
+        F.col("old.entry_id").alias("entry_id"),
+        F.struct(*[f"new.{name}" for name in GRAIN]).alias("new_grain"),
+        F.struct(*[f"old.{name}" for name in GRAIN]).alias("old_grain"),
+        F.col("old.client").alias(CLIENT),
         "new.actual",
         "new.budget_amount",
-        F.current_timestamp().alias("last_refreshed"),
+        F.col("new.is_new").isNotNull().alias("is_new"),
+        "old.last_refreshed",
     )
-    repeated = (
-        old.join(new, match("old", "new"), "left")
-        .select("old.entry_id", *[f"old.{name}" for name in GRAIN], "old.last_refreshed")
-        .join(comments.select(CLIENT, "entry_id"), [CLIENT, "entry_id"])
-    )
-    return merged.unionByName(_zeroed(repeated)).select(*BLEND_COLUMNS)
+    order = Window.partitionBy(CLIENT, "entry_id").orderBy("comment_id")
+    numbered = comments.select(CLIENT, "entry_id", F.row_number().over(order).alias("nth"))
+    rows = met.join(numbered, [CLIENT, "entry_id"], "left")
+
+    def row(grain, actual, budget_amount, refreshed):
+        return F.struct(
+            "entry_id",
+            *[F.col(grain)[name].alias(name) for name in GRAIN],
+            actual.alias("actual"),
+            budget_amount.alias("budget_amount"),
+            refreshed.alias("last_refreshed"),
+        )
+
+    zeros = [F.lit(0).cast(facts.schema[name].dataType) for name in ("actual", "budget_amount")]
+    fact = row("new_grain", F.col("actual"), F.col("budget_amount"), F.current_timestamp())
+    repeated = row("old_grain", *zeros, F.col("last_refreshed"))
+    emits_fact = F.col("is_new") & (F.coalesce("nth", F.lit(1)) == 1)
+    both = F.array(F.when(emits_fact, fact), F.when(F.col("nth").isNotNull(), repeated))
+    return rows.select(F.explode(F.filter(both, lambda r: r.isNotNull())).alias("row")).select("row.*")
