@@ -20,8 +20,8 @@ from coffer.llm.rolling import SPACE, U, mixed, parts, utf8
 LEAST = 6
 REPEATS = 4
 #: Candidates looked at together, and bytes of text; they bound the working memory, except for one longer text.
-CHUNK = 1 << 20
-PART = 4 << 20
+CHUNK = 1 << 18
+PART = 1 << 20
 
 
 @dataclass
@@ -45,16 +45,17 @@ class Level:
             sizes = np.diff(np.append(first, len(self.head)))
             out.up = (self.up[-1] - self.up)[::-1]
             out.head = np.append(self.head[1:], True)[::-1]
-            out.reach = (np.arange(len(self.head)) - np.repeat(first, sizes) + 1)[::-1] if self.blocks else self.reach
+            passed = np.arange(1, len(self.head) + 1, dtype=np.int32)
+            out.reach = (passed - np.repeat(first.astype(np.int32), sizes))[::-1] if self.blocks else self.reach
         return out
 
 
 def _named(keys: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of equal keys, and which of them stand once; what is single already gets a symbol of its own."""
-    out, once = np.empty(len(keys), np.int64), np.ones(len(keys), bool)
+    out, once = np.empty(len(keys), np.int32), np.ones(len(keys), bool)
     _, names, counts = np.unique(keys[~single], return_inverse=True, return_counts=True)
     out[~single] = names
-    out[single] = len(counts) + np.arange(np.count_nonzero(single))
+    out[single] = len(counts) + np.arange(np.count_nonzero(single), dtype=np.int32)
     once[~single] = counts[names] == 1
     return out, once
 
@@ -72,7 +73,7 @@ def grammar(symbols: np.ndarray) -> list[Level]:
         head[1:] = (symbol[1:] != symbol[:-1]) & ~(single[1:] & single[:-1])
         if not head.all():
             sizes = np.diff(np.append(np.flatnonzero(head), len(head)))
-            keys = symbol[head] * (sizes.max() + 1) + sizes
+            keys = symbol[head].astype(np.int64) * (sizes.max() + 1) + sizes
             symbol, single = _raised(levels, head, sizes, keys, single[head], True)
         # Symbols take sides by a hash; a left one followed by a right one becomes a pair. Each turn deals anew.
         turn += 1
@@ -85,7 +86,7 @@ def grammar(symbols: np.ndarray) -> list[Level]:
             head[1:] = ~pair[:-1]
             follower = np.where(pair, np.append(symbol[1:], 0) + 1, 0)
             sizes = np.diff(np.append(np.flatnonzero(head), len(head)))
-            keys = (symbol * (len(symbol) + 2) + follower)[head]
+            keys = symbol[head].astype(np.int64) * (len(symbol) + 2) + follower[head]
             symbol, single = _raised(levels, head, sizes, keys, single[head], False)
     return levels
 
@@ -93,10 +94,11 @@ def grammar(symbols: np.ndarray) -> list[Level]:
 def _raised(levels: list[Level], head: np.ndarray, sizes: np.ndarray, keys: np.ndarray, single: np.ndarray, blocks: bool):
     """Completes the last level and adds the next one; head marks where its symbols begin, sizes how many each takes."""
     first, last = np.flatnonzero(head), levels[-1]
-    last.head, last.up, last.blocks = head, np.cumsum(head) - 1, blocks
-    last.reach = np.repeat(first + sizes, sizes) - np.arange(len(head)) if blocks else np.ones(len(head), np.int64)
+    last.head, last.up, last.blocks = head, np.cumsum(head, dtype=np.int32) - np.int32(1), blocks
+    places = np.arange(len(head), dtype=np.int32)
+    last.reach = np.repeat((first + sizes).astype(np.int32), sizes) - places if blocks else np.ones(len(head), np.int32)
     symbol, single = _named(keys, single)
-    levels.append(Level(symbol, down=first))
+    levels.append(Level(symbol, down=first.astype(np.int32)))
     return symbol, single
 
 
@@ -104,7 +106,7 @@ def mirror(levels: list[Level]) -> list[Level]:
     out = [level.mirrored() for level in levels]
     for below, level in zip(levels, out[1:]):
         ends = np.append(np.flatnonzero(below.head)[1:], len(below.head)) - 1
-        level.down = (len(below.head) - 1 - ends)[::-1]
+        level.down = (len(below.head) - 1 - ends).astype(np.int32)[::-1]
     return out
 
 
