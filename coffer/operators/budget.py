@@ -18,8 +18,8 @@ BUDGET_COLUMNS = (
 )
 
 
-def stage_budget(sheet, start="2025-01", n_months=36, amount_type="double"):
-    """Named columns from a positional sheet: account path split, cells as numbers."""
+def stage_budget(sheet, start="2025-01", n_months=36, amount_type="double", *more):
+    """Named columns from a positional sheet: account path split, cells as numbers; ``more`` are kept."""
     path = F.col("string_field_1")
     months = [
         budget_cell(f"string_field_{FIRST_MONTH_FIELD + i}", amount_type).alias(label)
@@ -31,6 +31,7 @@ def stage_budget(sheet, start="2025-01", n_months=36, amount_type="double"):
         path_head(path).alias("sub_account"),
         path_tail(path).alias("child_account"),
         *months,
+        *more,
     )
 
 

@@ -88,7 +88,7 @@ def sales_receipt_lines(ledger):
     return _rows(lines, table, ITEM, _line_amount(ledger))
 
 
-def linked_payments(ledger, table):
+def linked_payments(ledger, table, rows=None):
     """Paid amount, as text, and document of each payment: first line, first link.
 
     The first line comes out of an explode of a one-element slice: filters on what
@@ -96,7 +96,7 @@ def linked_payments(ledger, table):
     """
     first = F.explode(F.slice(parsed_lines(table), 1, 1)).alias("first")
     return (
-        ledger.table(table)
+        (ledger.table(table) if rows is None else rows)
         .select(CLIENT, "txnDate", first)
         .select(
             CLIENT,
@@ -179,6 +179,10 @@ SOURCE_TABLES = {
 }
 
 
+# Kind of reference in each source's lines.
+REF_KINDS = {name: ITEM if name in ("payments", "sales_receipts") else ACCOUNT for name in SOURCES}
+
+
 def all_lines(ledger, sources=tuple(SOURCES)):
     """Lines of the given sources in one frame."""
     frames = [SOURCES[name](ledger) for name in sources]

@@ -61,8 +61,12 @@ def pnl_rows(ledger, sources=tuple(SOURCES)):
     """Signed, flattened postings, several per grain; for a consumer that groups."""
     needs_items = {"payments", "sales_receipts"} & set(sources)
     items = ledger.table("items") if needs_items else None
-    targets = posting_targets(account_dim(ledger.table("accounts")), items)
-    return posted(daily_postings(all_lines(ledger, sources)), targets)
+    return postings_to_rows(daily_postings(all_lines(ledger, sources)), ledger.table("accounts"), items)
+
+
+def postings_to_rows(postings, accounts, items=None):
+    """Daily postings, from a ledger or as they were staged, as signed and flattened rows."""
+    return posted(postings, posting_targets(account_dim(accounts), items))
 
 
 def profit_and_loss(ledger, sources=tuple(SOURCES)):

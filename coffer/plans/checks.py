@@ -4,75 +4,51 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from coffer.functions.json_text import scalar_sql
-from coffer.operators.lines import REFERENCES, SOURCE_TABLES, documents, linked_payments, parsed_lines
-from coffer.schemas import CLIENT, RAW_COLUMNS
-
-_PAYMENTS = tuple(tables for tables in SOURCE_TABLES.values() if len(tables) == 2)
-
-
-def _unparsable(value, kind):
-    """SQL condition: text that a strict cast would raise on."""
-    return f"{value} IS NOT NULL AND try_cast(CAST({value} AS STRING) AS {kind}) IS NULL"
-
-
-def _report(df, table, **counts):
-    """Client, table, problem and count, from a number per row and problem."""
-    sums = df.groupBy(CLIENT).agg(*[F.sum(n).alias(problem) for problem, n in counts.items()])
+from coffer.operators.lines import SOURCE_TABLES
+from coffer.plans.staging import staged
+from coffer.schemas import CLIENT
+from coffer.sources.ledger import BAD_BOOLEANS
+from coffer.sources.sheet import MALFORMED
+
+# Problems by column of the staged postings; those of documents that payments point at have their table's name.
+_LINE_PROBLEMS = {"bad_dates": "txnDate", "bad_amounts": "Amount", BAD_BOOLEANS: "credit"}
+_TOTAL_PROBLEMS = {"zero_totals": "TotalAmt", "bad_totals": "unparsable_TotalAmt"}
+_PAYMENT_PROBLEMS = {"bad_dates": "txnDate", "bad_paid": "Amount"}
+_ACCOUNT_PROBLEMS = {BAD_BOOLEANS: "SubAccount"}
+
+
+def _report(df, table, problems):
+    """Client, table, problem and count, from a number per row and problem; ``table`` is a column."""
+    sums = df.groupBy(CLIENT, table.alias("table")).agg(*[F.sum(n).alias(p) for n, p in problems.items()])
     return (
-        sums.unpivot([CLIENT], list(counts), "problem", "n")
+        sums.unpivot([CLIENT, "table"], list(problems.values()), "problem", "n")
         .filter("n > 0")
-        .select(CLIENT, F.lit(table).alias("table"), "problem", "n")
-    )
-
-
-def _flag(condition):
-    return F.expr(f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS BIGINT)")
-
-
-def _line_problems(ledger, table):
-    """Dates and amounts of a transaction table, in one pass over its documents."""
-    target = scalar_sql(f"l.{REFERENCES[table]}.value")
-    amount = scalar_sql("l.Amount")
-    bad_line = f"{target} IS NOT NULL AND {_unparsable(amount, ledger.amount_type)}"
-    bad_lines = F.expr(f"CAST(coalesce(size(filter(lines, l -> {bad_line})), 0) AS BIGINT)")
-    counts = {"Amount": bad_lines}
-    raw = ledger.table(table)
-    if "txnDate" in raw.columns:
-        counts["txnDate"] = _flag(_unparsable("txnDate", "date"))
-    return _report(raw.withColumn("lines", parsed_lines(table)), table, **counts)
-
-
-def _payment_problems(paid, table):
-    return _report(
-        paid,
-        table,
-        Amount=_flag(_unparsable("paid", "double")),
-        txnDate=_flag(_unparsable("txnDate", "date")),
+        .select(CLIENT, "table", "problem", "n")
     )
 
 
-def _zero_totals(ledger, paid, table):
-    """Documents of total zero that something was paid on."""
-    total = "try_cast(CAST(TotalAmt AS STRING) AS DOUBLE)"
-    zero = documents(ledger, table).filter(f"{total} = 0").drop("lines")
-    zero_paid = zero.join(paid, [CLIENT, "document_id"], "left_semi")
-    return _report(zero_paid, table, TotalAmt=_flag("TRUE"))
-
+def _document_table():
+    """Table whose documents a source's lines come from."""
+    table = F.lit(None).cast("string")
+    for source, tables in SOURCE_TABLES.items():
+        table = F.when(F.col("source") == source, F.lit(tables[-1])).otherwise(table)
+    return table
 
-def _bad_totals(ledger, paid, table):
-    """Documents that something was paid on and whose total is no number."""
-    bad = documents(ledger, table).filter(_unparsable("TotalAmt", "double")).drop("lines")
-    return _report(
-        bad.join(paid, [CLIENT, "document_id"], "left_semi"), table, unparsable_TotalAmt=_flag("TRUE")
-    )
 
+def problems_of(books):
+    """Problems of staged books: client, table, problem and how many.
 
-def _bad_booleans(ledger, table, column):
-    """Stored values that are no boolean; read as they are, since reading the table casts them."""
-    return _report(
-        ledger.in_scope(ledger.raw(table)), table, **{column: _flag(_unparsable(f"`{column}`", "boolean"))}
-    )
+    These are sums over stored counts: no raw table is read and nothing parsed again.
+    """
+    checks = [
+        _report(books.postings, _document_table(), _LINE_PROBLEMS | _TOTAL_PROBLEMS),
+        _report(books.payments, F.col("table"), _PAYMENT_PROBLEMS),
+        _report(books.accounts, F.lit("accounts"), _ACCOUNT_PROBLEMS),
+    ]
+    if books.budget is not None:
+        malformed = books.budget.select(CLIENT, F.col(MALFORMED).cast("bigint").alias(MALFORMED))
+        checks.append(_report(malformed, F.lit("budget_sheet"), {MALFORMED: "columns"}))
+    return reduce(lambda a, b: a.unionByName(b), checks)
 
 
 def client_problems(ledger):
@@ -82,17 +58,4 @@ def client_problems(ledger):
     lines that carry a reference, paid amounts, booleans, and totals of paid documents
     that are zero or no number.
     """
-    checks = [
-        _bad_booleans(ledger, table, column)
-        for table, columns in RAW_COLUMNS.items()
-        for column, kind in columns.items()
-        if kind == "boolean"
-    ]
-    checks += [_line_problems(ledger, table) for table in REFERENCES]
-    for payments_table, documents_table in _PAYMENTS:
-        paid = linked_payments(ledger, payments_table)
-        checks.append(_payment_problems(paid, payments_table))
-        checks.append(_bad_totals(ledger, paid, documents_table))
-        if ledger.on_zero_total == "raise":
-            checks.append(_zero_totals(ledger, paid, documents_table))
-    return reduce(lambda a, b: a.unionByName(b), checks)
+    return problems_of(staged(ledger))

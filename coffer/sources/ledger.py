@@ -10,27 +10,41 @@ from coffer.schemas import CLIENT, RAW_COLUMNS
 from coffer.sources.catalog import table_exists
 
 
-def conform(df, table, cast="CAST"):
+BAD_BOOLEANS = "bad_booleans"
+
+
+def conform(df, table, cast="CAST", count_bad=False):
     """Project a raw frame onto the columns the engine uses, with their types.
 
     Column names match without regard to case.  A missing column raises here,
-    by name, rather than deep inside a query.
+    by name, rather than deep inside a query.  ``count_bad`` adds how many of a
+    row's booleans are stored as something else; they read as NULL.
     """
     stored = {field.name.lower(): field for field in df.schema}
     wanted = {CLIENT: "string", **RAW_COLUMNS[table]}
     missing = [name for name in wanted if name.lower() not in stored]
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}")
-    columns = []
+    columns, bad = [], ["0"]
+    cast = "try_cast" if count_bad else cast
     for name, kind in wanted.items():
         found = stored[name.lower()]
+        if kind == "boolean":
+            bad.append(f"CAST({unparsable(f'`{found.name}`', kind)} AS INT)")
         if kind and found.dataType.simpleString() != kind:
             columns.append(f"{cast}(`{found.name}` AS {kind}) AS {name}")
         else:
             columns.append(f"`{found.name}` AS {name}")
+    if count_bad:
+        columns.append(f"{' + '.join(bad)} AS {BAD_BOOLEANS}")
     return df.selectExpr(*columns)
 
 
+def unparsable(value, kind):
+    """SQL condition: a value that a strict cast would raise on."""
+    return f"({value} IS NOT NULL AND try_cast(CAST({value} AS STRING) AS {kind}) IS NULL)"
+
+
 def stored_schema(spark, path, fmt="parquet"):
     """Schema of a directory partitioned by client, client names being text.
 
@@ -82,6 +96,10 @@ class Ledger:
         cast = "CAST" if self.excluded is None else "try_cast"
         return conform(self.in_scope(self.raw(name)), name, cast)
 
+    def checked(self, name):
+        """A table of the clients in scope in which bad values are NULL, and bad booleans counted."""
+        return conform(self.in_scope(self.raw(name)), name, count_bad=True)
+
     def raw(self, name):
         """A table as it is stored, of all clients."""
         if self.frames and name in self.frames:

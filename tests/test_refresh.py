@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +8,12 @@ import books
 from books import DAY, account, deposit, expense, lines, paid, ref, rows
 from coffer.operators.comments import add_comments, empty_comments
 from coffer.plans.checks import client_problems
-from coffer.plans.refresh import BLEND, COMMENTS, refresh, register_report_views
-from coffer.sinks.snapshots import layer_path, read_snapshot
-from test_budget import sheet
+from coffer.plans.refresh import BLEND, COMMENTED, COMMENTS, PROFIT, REFRESHED, refresh, refresh_marts, register_report_views
+from coffer.schemas import LINE_ELEMENTS
+from coffer.sinks import snapshots
+from coffer.sinks.snapshots import current_versions, layer_path, read_snapshot, versions
+from coffer.sources.sheet import read_budget_sheet
+from test_budget import sheet, write_csv
 
 
 def book(spark, amount, clients=("c", "d"), **more):
@@ -154,3 +158,77 @@ def test_problems_by_client(spark):
         ("d", "deposits", "Amount", 1), ("e", "payments", "Amount", 1),
     ]
     assert rows(client_problems(ledger)) == expected
+
+
+def data_files(root, table):
+    return {str(p): p.stat().st_mtime_ns for p in Path(layer_path(root, "marts", table)).rglob("*.parquet")}
+
+
+def test_other_clients_files_stay(spark, root):
+    refresh(book(spark, 1), both_sheets(spark), root)
+    before = {table: data_files(root, table) for table in REFRESHED}
+    outcome = refresh(book(spark, 9).with_options(clients=("c",)), both_sheets(spark), root, keep=1)
+    assert outcome.clients == ("c",)
+    for table in REFRESHED:
+        after = data_files(root, table)
+        kept = {name: at for name, at in before[table].items() if "client=d" in name}
+        assert kept and kept.items() <= after.items()
+        assert all("client=c" in name for name in after.keys() - kept.keys())
+        path = layer_path(root, "marts", table)
+        assert rows(current_versions(spark, path)) == [("c", 2), ("d", 1)]
+        assert versions(spark, path) == [2]
+    assert actuals(spark, root) == [("c", 9.0), ("d", 1.0)]
+    profits = read_snapshot(spark, layer_path(root, "marts", PROFIT)).filter("net_cash_actual != 0")
+    assert rows(profits, "client", "net_cash_actual") == [("c", 9.0), ("d", 1.0)]
+
+
+def test_each_document_is_parsed_once_in_a_refresh(spark, root, monkeypatch):
+    plans, write = [], snapshots._write_rows
+
+    def watched(df, path, partition_by):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, path, partition_by)
+
+    monkeypatch.setattr(snapshots, "_write_rows", watched)
+    refresh(book(spark, 1), both_sheets(spark), root)
+    assert "\n".join(plans).count("from_json(ArrayType(StructType") == len(LINE_ELEMENTS)
+
+
+def test_malformed_sheet_fails_its_client_alone(spark, root, tmp_path):
+    def row(name, amount):
+        return [name, name] + [""] * 7 + [amount] + ["-"] * 35
+
+    header = [f"h{i}" for i in range(45)]
+    write_csv(tmp_path / "sheets" / "client=c" / "s.csv", [header, row("a", "7")])
+    write_csv(tmp_path / "sheets" / "client=d" / "s.csv", [header, row("a", "8"), row("a", "9")[:-3], ["x", *row("b", "1")]])
+    path = str(tmp_path / "sheets")
+    outcome = refresh(book(spark, 1), read_budget_sheet(spark, path, malformed="mark"), root)
+    assert rows(outcome.problems) == [("d", "budget_sheet", "columns", 2)]
+    assert rows(facts(spark, root), "client", "actual", "budget_amount") == [("c", 0.0, 7.0), ("c", 1.0, 0.0)]
+    with pytest.raises(Exception, match="another number of cells"):
+        read_budget_sheet(spark, path).count()
+
+
+def test_random_ids_of_new_rows(spark, root):
+    refresh(book(spark, 1, clients=("c",)), sheet(spark, "a", cells=("7",)), root)
+    known = rows(facts(spark, root), "entry_id")
+    refresh(book(spark, 2), both_sheets(spark), root, random_ids=True)
+    first = rows(facts(spark, root), "client", "entry_id")
+    assert first == rows(facts(spark, root), "client", "entry_id")
+    assert [(e,) for c, e in first if c == "c"] == known
+    new = [e for c, e in first if c == "d"]
+    assert len(set(new)) == 2 and all(len(e) == 36 for e in new)
+    refresh(book(spark, 3), both_sheets(spark), root, random_ids=True)
+    assert rows(facts(spark, root), "client", "entry_id") == first
+
+
+def test_marts_follow_the_stored_facts(spark, root):
+    refresh(book(spark, 1), both_sheets(spark), root)
+    entry = facts(spark, root).filter("client = 'd' and actual != 0").first().entry_id
+    note = [("d", "1", entry, "why", "ann", datetime.datetime(2025, 4, 1), None)]
+    add_comments(spark.createDataFrame(note, empty_comments(spark).schema), layer_path(root, "marts", COMMENTS))
+    refresh_marts(spark, root)
+    stored = read_snapshot(spark, layer_path(root, "marts", COMMENTED))
+    assert rows(stored.filter("comment_text is not null"), "client", "actual", "comment_text") == [("d", 1.0, "why")]
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "from_json" not in plan
