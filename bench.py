@@ -51,8 +51,8 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()
     data = landed(spark, sf_dir)
-    # The loader's part: raw tables, sheets, the previous blend and its comments.
-    for step in (lambda: data.ledger, lambda: data.sheet, lambda: data.comments):
+    # The loader's part: raw tables, sheets, the previous blend and its comments; and a first refresh.
+    for step in (lambda: data.ledger, lambda: data.sheet, lambda: data.comments, lambda: data.reports):
         step()
     landing = time.perf_counter() - start
 

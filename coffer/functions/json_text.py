@@ -6,11 +6,29 @@ for the planner rather than a tree built call by call from Python.
 
 from pyspark.sql import functions as F
 
+# Text that starts like an object or array is marked before parsing, since a parsed
+# text column does not tell {"value":"[12]"} from {"value":[12]}.  The mark is a
+# character that stands in front of the bracket, escaped as JSON wants it.
+_MARK = r"\u0001"
+
+
+def marked_sql(json_text):
+    """SQL of a JSON text in which string values that start with a bracket carry the mark.
+
+    A quote after a colon after a quote opens a value: inside a string both would be escaped.
+    """
+    opening = r"""r'("\s*:\s*")(?=[\[{])'"""
+    return (
+        f"CASE WHEN contains({json_text}, '\"[') OR contains({json_text}, '\"{{') "
+        f"THEN regexp_replace({json_text}, {opening}, r'$1\\\\u0001') ELSE {json_text} END"
+    )
+
 
 def scalar_sql(text):
     """SQL of :func:`scalar`, for use inside larger expressions."""
+    starts = [f"startswith({text}, '{_MARK}{bracket}')" for bracket in "[{"]
     nested = f"startswith({text}, '{{') OR startswith({text}, '[')"
-    return f"CASE WHEN NOT ({nested}) THEN {text} END"
+    return f"CASE WHEN {starts[0]} OR {starts[1]} THEN substring({text}, 2) WHEN NOT ({nested}) THEN {text} END"
 
 
 def scalar(text):
@@ -20,7 +38,7 @@ def scalar(text):
 
 def scalar_at(json_text, path):
     """Scalar at ``path`` in a JSON text column; NULL if missing, null or nested."""
-    return scalar(f"get_json_object({json_text}, '{path}')")
+    return scalar(f"get_json_object({marked_sql(json_text)}, '{path}')")
 
 
 def elements(json_text, element):
@@ -30,9 +48,10 @@ def elements(json_text, element):
     such an array is parsed again element by element.  ``coalesce`` is lazy: the
     second pass costs nothing on well-formed rows.
     """
-    whole = f"from_json({json_text}, 'ARRAY<{element}>')"
+    marked = marked_sql(json_text)
+    whole = f"from_json({marked}, 'ARRAY<{element}>')"
     one_by_one = (
-        f"transform(from_json({json_text}, 'ARRAY<STRING>'), item -> "
+        f"transform(from_json({marked}, 'ARRAY<STRING>'), item -> "
         f"CASE WHEN startswith(ltrim(item), '{{') THEN from_json(item, '{element}') END)"
     )
     return F.expr(

@@ -2,14 +2,15 @@
 
 The raw accounting tables are landed once per session and data set, as an external
 loader would, and every query reads them from there.  Landing goes to the shared
-folder of the cluster (``spark.checkpoint.dir``); only without one, as in tests, to
-a temporary folder.
+folder of the cluster (``spark.checkpoint.dir``); only without one and in local mode,
+as in tests, to a temporary folder.
 
-No step collects a document's lines: each order line lands as a page of its
-document, ``Line`` holding that line and a subtotal without a reference.
+Each order lands as one document.  ``Line`` holds its order lines, a subtotal and a
+note, neither with a reference; an order has a handful of lines, whatever the scale.
 """
 
 import hashlib
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from coffer.operators.blend import blend
 from coffer.operators.budget import budget_long, stage_budget
-from coffer.operators.lines import SOURCES
 from coffer.operators.pnl import pnl_rows
+from coffer.plans.refresh import refresh
 from coffer.schemas import CLIENT, FIRST_MONTH_FIELD, SHEET_COLUMNS
 from coffer.sinks.snapshots import layer_path, read_snapshot, write_snapshot
 from coffer.sources.ledger import Ledger
@@ -52,10 +53,9 @@ DOCUMENT_KINDS = (
     "bills",
     "sales_receipts",
 )
-# The previous version of the blend knew no sales receipts; today's ledger has its
-# purchases voided.  So a refresh meets new, changed and vanished rows.
-PREVIOUS_SOURCES = tuple(s for s in SOURCES if s != "sales_receipts")
-CURRENT_SOURCES = tuple(s for s in SOURCES if s != "purchases")
+# In the previous version of the blend, everything booked on these days of a month stood
+# a day later.  So a refresh over all sources meets new, changed and vanished rows.
+LATE_DAYS = 5
 
 
 def read(spark, sf_dir, table):
@@ -162,10 +162,17 @@ def orders_with_totals(spark, sf_dir):
     return orders.join(totals, "o_orderkey", "left")
 
 
+def booked_late(rows):
+    """Rows as the previous version of the blend had them."""
+    late = F.dayofmonth("txnDate") % LATE_DAYS == 0
+    return rows.withColumn("txnDate", F.when(late, F.date_add("txnDate", 1)).otherwise(F.col("txnDate")))
+
+
 def documents(spark, sf_dir):
-    """The six kinds of documents in one frame, a page per order line."""
+    """The six kinds of documents in one frame, all lines of an order in one document."""
     lines = read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
+        "l_linenumber",
         F.col("l_partkey").alias("p_partkey"),
         "l_extendedprice",
         "l_returnflag",
@@ -190,15 +197,26 @@ def documents(spark, sf_dir):
     }
     amount = F.col("l_extendedprice").alias("Amount")
     line = F.struct(amount, *[d.alias(name) for name, d in details.items()])
-    subtotal = F.struct(amount, *[F.when(F.lit(False), d).alias(n) for n, d in details.items()])
-    return joined.select(
+    document = ["table", CLIENT, "o_orderkey", "txnDate", "o_orderstatus", "TotalAmt"]
+    gathered = (
+        joined.select(*document, F.struct("l_linenumber", "l_extendedprice", line.alias("line")).alias("item"))
+        .groupBy(*document)
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
+    )
+    written = F.transform("items", lambda item: item["line"])
+    total = F.aggregate("items", F.lit(0.0), lambda total, item: total + item["l_extendedprice"])
+    subtotal = F.to_json(F.array(F.struct(total.alias("Amount"), F.lit("SubTotalLineDetail").alias("DetailType"))))
+    note = '[{"Amount":null,"Description":"note"}]'
+    # Arrays of differently shaped lines are joined as text, as the source systems mix them.
+    text = F.concat_ws(",", *[F.substring(t, 2, F.length(t) - 2) for t in (F.to_json(written), subtotal, F.lit(note))])
+    return gathered.select(
         "table",
         CLIENT,
         F.col("o_orderkey").cast("string").alias("Id"),
         F.col("txnDate").cast("string").alias("txnDate"),
         F.when(table == "purchases", F.col("o_orderstatus") == "P").alias("credit"),
         "TotalAmt",
-        F.to_json(F.array(line, subtotal)).alias("Line"),
+        F.concat(F.lit("["), text, F.lit("]")).alias("Line"),
     )
 
 
@@ -307,7 +325,15 @@ class Landed:
 
     @property
     def sheet(self):
-        return read_budget_sheet(self.spark, self.sheet_path)
+        return read_budget_sheet(self.spark, self.sheet_path, malformed="mark")
+
+    @cached_property
+    def tab_path(self):
+        """Whole spreadsheet tabs, one file per client, as an export writes them."""
+        path = self.fresh("budget_tabs")
+        rows = sheet_rows(self.spark, self.sf_dir).repartition(CLIENT).sortWithinPartitions(CLIENT, SHEET_ROW)
+        rows.drop(SHEET_ROW).write.partitionBy(CLIENT).csv(path)
+        return path
 
     def budget(self, start=BLEND_START):
         staged = stage_budget(self.sheet, start, N_MONTHS, AMOUNT_TYPE)
@@ -320,7 +346,7 @@ class Landed:
     @cached_property
     def _previous_path(self):
         path = layer_path(self.marts, "marts", "previous_blend")
-        write_snapshot(blend(pnl_rows(self.ledger, PREVIOUS_SOURCES), self.budget()), path)
+        write_snapshot(blend(booked_late(pnl_rows(self.ledger)), self.budget()), path)
         return path
 
     @property
@@ -337,6 +363,13 @@ class Landed:
     def comments(self):
         return read_snapshot(self.spark, self._comments_path)
 
+    @cached_property
+    def reports(self):
+        """Root of the stored reports, after a first refresh of all clients: version 1 of each table."""
+        root = self.fresh("refreshed")
+        refresh(self.ledger, self.sheet, root, start=BLEND_START)
+        return root
+
     def fresh(self, name):
         """A new place for a query that writes."""
         return f"{self.base}/{name}-{uuid.uuid4().hex}"
@@ -345,12 +378,18 @@ class Landed:
 _landed = {}
 
 
+def _own_folder(spark):
+    """A folder of one's own, in local mode alone: on a cluster no other machine would see it."""
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="coffer-")
+
+
 def landed(spark, sf_dir):
     """The landed data of this session and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        root = shared or tempfile.mkdtemp(prefix="coffer-")
+        root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
         name = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
         base = f"{root}/coffer-{key[0]}-{name}-{uuid.uuid4().hex[:8]}"
         _landed[key] = Landed(spark, sf_dir, base)

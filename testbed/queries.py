@@ -15,7 +15,7 @@ from coffer.functions.text import (
 from coffer.operators import accounts as accounts_op
 from coffer.operators import comments as comments_op
 from coffer.operators import lines as lines_op
-from coffer.operators.blend import blend, blend_refresh, stack_facts
+from coffer.operators.blend import blend, blend_refresh
 from coffer.operators.budget import (
     budget_accounts,
     budget_long,
@@ -30,23 +30,21 @@ from coffer.operators.pnl import (
     profit_and_loss,
 )
 from coffer.operators.profit import profit
-from coffer.plans.refresh import BLEND, refresh
+from coffer.plans.refresh import BLEND, COMMENTED, PROFIT, refresh
 from coffer.schemas import ACCOUNT_COLUMNS, CLIENT, FIRST_MONTH_FIELD, GRAIN, RAW_COLUMNS
-from coffer.sinks.snapshots import layer_path, read_snapshot, write_snapshot
+from coffer.sinks.snapshots import current_versions, layer_path, read_snapshot, write_snapshot
 from coffer.sinks.views import register_views
 from coffer.sources.catalog import table_exists
-from coffer.sources.sheet import SHEET_ROW, slice_range
+from coffer.sources.sheet import MALFORMED, read_budget_sheet
 from testbed.derive import (
     AMOUNT_TYPE,
     BLEND_START,
-    CURRENT_SOURCES,
     N_MONTHS,
     landed,
     read,
-    sheet_rows,
 )
 
-SLICE = dict(first_row=4, last_row=69, first_col=0, last_col=20)
+SLICE = dict(first_row=4, last_row=69, last_letters="U", n_columns=21)
 
 
 def _doubles(df, *names):
@@ -64,11 +62,14 @@ def _count(df, **constants):
 
 
 def scan_budget_sheet(spark, sf_dir):
-    return landed(spark, sf_dir).sheet
+    return landed(spark, sf_dir).sheet.drop(MALFORMED)
 
 
 def slice_sheet_range(spark, sf_dir):
-    return slice_range(sheet_rows(spark, sf_dir), **SLICE)
+    """A range of the whole tabs, rows counted while their files are read."""
+    tabs = landed(spark, sf_dir).tab_path
+    sheet_range = f"Budget!A{SLICE['first_row']}:{SLICE['last_letters']}{SLICE['last_row']}"
+    return read_budget_sheet(spark, tabs, sheet_range, skip_leading_rows=0, keep_rows=True)
 
 
 def scan_ledger_tables(spark, sf_dir):
@@ -137,16 +138,27 @@ def comments_init(spark, sf_dir):
 
 
 def pl_by_client(spark, sf_dir):
+    """Facts by client after a second refresh, of three clients without their deposits.
+
+    One of the three has a purchase without a proper date: it keeps the rows of the
+    first refresh, as do the clients that are not part of the second.
+    """
     data = landed(spark, sf_dir)
-    root = data.fresh("refresh")
-    refresh(data.ledger, data.sheet, root, start=BLEND_START)
-    facts = read_snapshot(spark, layer_path(root, "marts", BLEND))
-    sums = facts.groupBy(CLIENT, "classification", "account_type").agg(
+    purchases = data.ledger.raw("purchases")
+    bad = purchases.filter(F.col(CLIENT) == "client_1").limit(1).withColumn("txnDate", F.lit("soon"))
+    changed = {"deposits": data.ledger.raw("deposits").filter(F.lit(False)), "purchases": purchases.unionByName(bad)}
+    ledger = data.ledger.with_options(frames=changed, clients=("client_0", "client_1", "client_2"))
+    outcome = refresh(ledger, data.sheet, data.reports, start=BLEND_START)
+    path = layer_path(data.reports, "marts", BLEND)
+    sums = read_snapshot(spark, path).groupBy(CLIENT, "classification", "account_type").agg(
         F.count("*").alias("n_rows"),
         F.sum("actual").alias("actual"),
         F.sum("budget_amount").alias("budget_amount"),
     )
-    return _doubles(sums, "actual", "budget_amount")
+    # Stored by the first refresh or a later one, and held back by how many problems.
+    stored = current_versions(spark, path).select(CLIENT, (F.col("version") > 1).alias("is_refreshed"))
+    held = outcome.problems.groupBy(CLIENT).agg(F.sum("n").cast("long").alias("n_problems"))
+    return _doubles(sums.join(stored, CLIENT).join(held, CLIENT, "left"), "actual", "budget_amount")
 
 
 # Expressions
@@ -163,12 +175,17 @@ def project_rename(spark, sf_dir):
 
 
 def cast_date(spark, sf_dir):
-    deposits = landed(spark, sf_dir).ledger.table("deposits")
-    return (
-        deposits.select(CLIENT, F.col("txnDate").cast("date").alias("txnDate"))
-        .groupBy(CLIENT, "txnDate")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    """Transactions per day, of every table that has a date."""
+    ledger = landed(spark, sf_dir).ledger
+    union = None
+    for name in (t for t, columns in RAW_COLUMNS.items() if "txnDate" in columns):
+        days = (
+            ledger.table(name)
+            .groupBy(F.lit(name).alias("table_name"), CLIENT, F.col("txnDate").cast("date").alias("txnDate"))
+            .agg(F.count("*").alias("n_rows"))
+        )
+        union = days if union is None else union.unionByName(days)
+    return union
 
 
 def filter_account_types(spark, sf_dir):
@@ -225,12 +242,16 @@ def normalize_url(spark, sf_dir):
 def json_scalar_value(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     nested = F.concat(F.lit('{"outer":'), F.col("props"), F.lit("}")).alias("nested")
-    return events.select("event_id", "props", nested).select(
+    # The same characters once as text and once as an array.
+    listed = F.format_string('{"text":"[%d] x","array":[%d]}', "event_id", "event_id").alias("listed")
+    return events.select("event_id", "props", nested, listed).select(
         "event_id",
         scalar_at("props", "$.k").alias("k"),
         scalar_at("props", "$.K").alias("other_case"),
         scalar_at("nested", "$.outer").alias("nested_object"),
         scalar_at("nested", "$.outer.k").alias("nested_k"),
+        scalar_at("listed", "$.text").alias("bracketed_text"),
+        scalar_at("listed", "$.array").alias("nested_array"),
     )
 
 
@@ -253,8 +274,10 @@ def explode_json_lines(spark, sf_dir):
 
 
 def json_line_amounts(spark, sf_dir):
-    lines = lines_op.deposits_lines(landed(spark, sf_dir).ledger)
-    return _doubles(lines.select(CLIENT, "txnDate", "ref_id", "amount"), "amount")
+    """Lines of the transactions that post by themselves."""
+    direct = [name for name, tables in lines_op.SOURCE_TABLES.items() if len(tables) == 1]
+    lines = lines_op.all_lines(landed(spark, sf_dir).ledger, direct)
+    return _doubles(lines.select("source", CLIENT, "txnDate", "ref_id", "amount"), "amount")
 
 
 def first_linked_txn(spark, sf_dir):
@@ -276,7 +299,7 @@ def _twice_refreshed(data):
     """A literal refresh, whose repeated rows give groups of several entries."""
     return blend_refresh(
         data.previous,
-        pnl_rows(data.ledger, CURRENT_SOURCES),
+        pnl_rows(data.ledger),
         data.budget(),
         data.comments,
         "literal",
@@ -309,13 +332,14 @@ def account_dim(spark, sf_dir):
 
 def join_line_account(spark, sf_dir):
     ledger = landed(spark, sf_dir).ledger
-    lines = lines_op.deposits_lines(ledger).withColumnRenamed("ref_id", "account_id")
+    direct = ("deposits", "purchases", "journal_entries")
+    lines = lines_op.all_lines(ledger, direct).withColumnRenamed("ref_id", "account_id")
     joined = lines.join(
         accounts_op.account_dim(ledger.table("accounts")), [CLIENT, "account_id"]
     )
     return _doubles(
         joined.select(
-            CLIENT, "txnDate", "account_id", "account_name", "account_type", "amount"
+            "source", CLIENT, "txnDate", "account_id", "account_name", "account_type", "amount"
         ),
         "amount",
     )
@@ -455,8 +479,7 @@ def blend_first_run(spark, sf_dir):
 
 def blend_refresh_query(spark, sf_dir):
     data = landed(spark, sf_dir)
-    current = pnl_rows(data.ledger, CURRENT_SOURCES)
-    return _facts(blend_refresh(data.previous, current, data.budget(), data.comments))
+    return _facts(blend_refresh(data.previous, pnl_rows(data.ledger), data.budget(), data.comments))
 
 
 def blend_refresh_literal(spark, sf_dir):
@@ -487,18 +510,22 @@ MEASURES = tuple(
 )
 
 
-def _stacked(spark, sf_dir):
-    """Facts straight from ledger and sheet: measures need no finer aggregation."""
-    data = landed(spark, sf_dir)
-    return stack_facts(pnl_rows(data.ledger), data.budget())
+def _stored(spark, sf_dir, table):
+    """A table as the first refresh stored it."""
+    return read_snapshot(spark, layer_path(landed(spark, sf_dir).reports, "marts", table), version=1)
+
+
+def stored_profit(spark, sf_dir):
+    """The end of the chain: facts, facts with comments and profit, each made from the one stored before."""
+    return _doubles(_stored(spark, sf_dir, PROFIT), *MEASURES)
 
 
 def profit_by_date(spark, sf_dir):
-    return _doubles(profit(_stacked(spark, sf_dir), "date"), *MEASURES)
+    return _doubles(profit(_stored(spark, sf_dir, COMMENTED), "date"), *MEASURES)
 
 
 def profit_by_month(spark, sf_dir):
-    return _doubles(profit(_stacked(spark, sf_dir), "month"), *MEASURES)
+    return _doubles(profit(_stored(spark, sf_dir, COMMENTED), "month"), *MEASURES)
 
 
 QUERIES = {
@@ -552,6 +579,7 @@ QUERIES = {
     "latest_comment": latest_comment,
     "pl_with_comments": pl_with_comments,
     "pl_with_comments_literal": pl_with_comments_literal,
+    "stored_profit": stored_profit,
     "profit_by_date": profit_by_date,
     "profit_by_month": profit_by_month,
 }

@@ -104,3 +104,15 @@ def test_keys_do_not_collide(spark):
     ids = [r[0] for r in df.select(entry_id("x", "y")).collect()]
     assert len(set(ids)) == 6 and all(len(i) == 32 for i in ids)
     assert ids == [r[0] for r in df.select(entry_id("x", "y")).collect()]
+
+
+def test_json_text_that_looks_nested(spark):
+    texts = [
+        '{"v":"[12] Sales"}', '{"v":[12]}', '{"v" : "{x"}', '{"v":{"a":"[b"}}', '{"a":"say \\":\\"[q","v":"plain"}',
+        '{"v":" [1]"}', '{"v":"[]"}', '{"v":"\\u0001x"}',
+    ]
+    expected = ["[12] Sales", None, "{x", None, "plain", " [1]", "[]", "\x01x"]
+    assert column(spark, texts, scalar_at("x", "$.v")) == expected
+    lines = ['[{"R":{"v":"[12] Sales"}},{"R":{"v":[12]}}]', '[{"R":{"v":"{z"}},5]']
+    df = spark.createDataFrame([(t,) for t in lines], "x string").select(F.explode(elements("x", "STRUCT<R: STRUCT<v: STRING>>")).alias("e"))
+    assert [r[0] for r in df.select(scalar("e.R.v")).collect()] == ["[12] Sales", None, "{z", None]
