@@ -20,58 +20,108 @@ STOP_WORDS = frozenset(
     "una y ya así".split()
 )
 
-#: Elements whose content is never text.
-SILENT = ("script", "style", "noscript", "template", "head", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "textarea", "button", "datalist")
+#: Elements whose content is never text. Those of RAW hold anything up to their end, and all the rest if that is missing;
+#: the others are skipped up to their end if there is one.
+RAW = frozenset(("script", "style", "noscript", "iframe", "textarea", "title"))
+SILENT = RAW | frozenset(("template", "svg", "math", "object", "canvas", "audio", "video", "select", "button", "datalist"))
+#: Of these, a slash before the bracket closes.
+FOREIGN = frozenset(("svg", "math"))
 #: Elements that hold navigation, forms and the like.
 ASIDE = frozenset(("nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "header"))
 MAIN = frozenset(("article", "main"))
 #: Elements that hold blocks; they are followed until they are closed.
 HOLDER = frozenset(("body", "html", "div", "section", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "figure", "details", "blockquote", "center", "address")) | ASIDE | MAIN
 #: Elements that are a block by themselves.
-LEAF = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "pre", "hr", "caption", "figcaption", "summary", "legend", "option", "title"))
-#: Names in class, id or role of what is not the article.
+LEAF = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "pre", "hr", "caption", "figcaption", "summary", "legend", "option"))
+#: Words in class, id or role of what is not the article; words are parted by hyphens, underscores and white space.
 OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice\w*|alert|popup|modal|newsletter|subscri\w+|sidebar\w*"
-    r"|side|widget\w*|menu\w*|nav\w*|breadcrumb\w*|pagination|pager|footer\w*|header|masthead|comment\w*|disqus\w*|respon[ds]\w*|reply|replies"
-    r"|share|sharing|social|related|recommend\w*|login|signup|search\w*|toolbar|copyright|contentinfo|navigation|complementary|dialog|form)(?:$|[\s_-])",
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|notices?|alert|popup|modal|newsletter|subscri\w+|sidebar\w*"
+    r"|side|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|pagination|pager|footer\w*|header|masthead|comments?|commentlist|disqus\w*"
+    r"|respond|responses|reply|replies|share|sharing|social|related|recommend\w*|login|signup|search\w*|toolbar|copyright|contentinfo"
+    r"|complementary|dialog|form",
     re.I,
 )
-NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Names that begin with one of these tell about the page around: has-sidebar, with-comments.
+ABOUT = frozenset(("has", "with", "no", "without", "is", "js", "not"))
+NAMED = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?![^\s/>]))""", re.I)
+#: A quote opens a value only after an equals sign. Nothing here is tried twice: matching takes linear time.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.I | re.S,
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<rest>(?:[^>="']++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+)>""",
+    re.S,
 )
+#: The same with tags that end at the first bracket, for what follows a tag whose quotes run to the end of the page.
+LOOSE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*+)(?P<rest>[^>]*+)>", re.S)
+OPENS = re.compile(r"</?[a-zA-Z]")
+ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I) for tag in SILENT}
 
-LONG, LINKS, DENSE, THIN = 70, 0.4, 0.25, 0.12
+LONG, LINKS, DENSE, THIN, BARE = 70, 0.4, 0.25, 0.12, 0.03
+#: A long block with next to no stop words.
+THINLY = object()
 
 
 def _apart(rest: str) -> bool:
     """Whether attributes name something that is not the article, or hide it."""
     for name, *values in NAMED.findall(rest):
         value = "".join(values)
-        if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true") or (value and OTHER.search(value)):
+        if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true"):
             return True
+        for word in value.split():
+            parts = re.split("[_-]+", word)
+            if parts[0].lower() not in ABOUT and any(OTHER.fullmatch(part) for part in parts):
+                return True
     return False
 
 
+def _tokens(html: str):
+    """Yields (text before, tag, whether it closes, attributes) in order, and at last the rest of the text with no tag."""
+    pattern, at, said, last = TOKEN, 0, 0, html.rfind(">")
+    endless: set[str] = set()
+    while True:
+        at = html.find("<", at)
+        if at < 0:
+            break
+        m = pattern.match(html, at)
+        if m is None:
+            if pattern is TOKEN and at < last and OPENS.match(html, at):
+                pattern = LOOSE
+            elif at > last and OPENS.match(html, at):
+                # No bracket follows, so nothing here is a tag.
+                break
+            else:
+                at += 1
+            continue
+        tag = (m["tag"] or "").lower()
+        yield html[said:at], tag, bool(m["close"]), m["rest"] or ""
+        at = said = m.end()
+        if tag in SILENT and not m["close"] and not (tag in FOREIGN and m["rest"].endswith("/")) and tag not in endless:
+            end = ENDS[tag].search(html, at)
+            if end:
+                at = said = end.end()
+            elif tag in RAW:
+                at = said = len(html)
+            else:
+                endless.add(tag)
+    yield html[said:], "", False, ""
+
+
 class _Blocks:
     """Blocks of one page in order: [text, link characters, apart, inside article or main]."""
 
     def __init__(self, html: str):
         self.found, self.text, self.linked = [], [], 0
-        self.open: list[tuple[str, bool, bool]] = [("", False, False)]
+        # Of each open element: its name, whether it is apart, and whether it is in an article or main.
+        self.open: list[tuple[str, bool, str]] = [("", False, "")]
         self.leaf_apart = self.in_link = False
-        at = 0
-        for m in TOKEN.finditer(html):
-            self._say(html[at : m.start()])
-            at = m.end()
-            tag = (m["tag"] or "").lower()
-            if tag:
-                (self._end if m["close"] else self._begin)(tag, m["rest"])
-        self._say(html[at:])
+        self.mains: set[str] = set()
+        for text, tag, closes, rest in _tokens(html):
+            self._say(text)
+            if tag and tag not in SILENT:
+                (self._end if closes else self._begin)(tag, rest)
         self._cut()
+        # Where there is an article, it is the main part; else the main element is.
+        inner = "article" if "article" in self.mains else "main"
+        self.found = [(text, linked, apart, inner in main) for text, linked, apart, main in self.found]
 
     def _say(self, raw: str) -> None:
         if raw:
@@ -95,8 +145,12 @@ class _Blocks:
             _, apart, main = self.open[-1]
             # The heading of an article is part of it.
             aside = tag in ASIDE and not (tag == "header" and main)
-            named = tag not in MAIN and tag not in ("body", "html") and _apart(rest)
-            self.open.append((tag, apart or aside or named, main or tag in MAIN))
+            named = tag not in ("body", "html") and _apart(rest)
+            if tag in MAIN and tag not in self.mains:
+                # Whatever the elements around the first one are called, they hold it.
+                self.mains.add(tag)
+                apart = named = False
+            self.open.append((tag, apart or aside or named, f"{main} {tag}" if tag in MAIN else main))
         elif tag in LEAF:
             self._cut()
             self.in_link = False
@@ -122,17 +176,18 @@ class _Blocks:
 def main_blocks(html: str) -> list[str]:
     """The article's blocks.
 
-    First pass: what is marked as navigation, advert and so on is bad, and so are blocks that are mostly links. Long
-    blocks with many stop words are good. On a page with an article or main element all else outside it is bad, and
-    inside it long blocks with some stop words are good; elsewhere long blocks with few stop words are bad. Second
-    pass: what is left (short blocks, middling ones) takes the label of the nearest decided block of its kind; between
-    a good and a bad one at the same distance it is good. Inside an article without decided blocks it is good.
+    First pass: what is marked as navigation, advert and so on is bad. Long blocks with many stop words are good. On a
+    page with an article (or else a main element) all else outside it is bad, and inside it long blocks with some stop
+    words are good; elsewhere long blocks with next to no stop words are bad, and so are blocks that are mostly links. On a
+    page where stop words show no good block, such as one in a language without any here, long blocks are good.
+    Second pass: what is left (short blocks, middling ones) takes the label of the nearest decided block of its kind;
+    between a good and a bad one at the same distance, and without decided blocks, it is good.
     """
     blocks = _Blocks(html).found
     has_main = any(main for _, _, _, main in blocks)
-    labels: list[bool | None] = []
+    labels: list = []
     for text, linked, apart, main in blocks:
-        if apart or (has_main and not main) or linked > LINKS * max(1, len(text) - text.count(" ")):
+        if apart or (has_main and not main) or (not main and linked > LINKS * max(1, len(text) - text.count(" "))):
             labels.append(False)
             continue
         words = text.lower().split()
@@ -142,7 +197,9 @@ def main_blocks(html: str) -> list[str]:
         elif share >= (THIN if main else DENSE):
             labels.append(True)
         else:
-            labels.append(False if not main and share < THIN else None)
+            labels.append(THINLY if not main and share < BARE else None)
+    found = any(label is True for label in labels)
+    labels = [(not found) if label is THINLY else label for label in labels]
     return [block[0] for block, label in zip(blocks, _decided(blocks, labels), strict=True) if label]
 
 
@@ -153,7 +210,8 @@ def _decided(blocks: list, labels: list[bool | None]) -> list[bool]:
         last, out = None, {}
         for i in order:
             # What is marked as apart says nothing about the article around it.
-            if labels[i] is not None and not (blocks[i][2] and blocks[i][3]) and not (not blocks[i][3] and any_main):
+            marked = blocks[i][2] or (any_main and not blocks[i][3])
+            if labels[i] is not None and not marked:
                 last = i
             out[i] = (abs(last - i), labels[last]) if last is not None else (len(labels) + 1, None)
         return out
@@ -165,7 +223,7 @@ def _decided(blocks: list, labels: list[bool | None]) -> list[bool]:
         if label is None:
             (a, x), (b, y) = left[i], right[i]
             if x is None and y is None:
-                label = blocks[i][3]
+                label = True
             elif a == b:
                 label = bool(x or y)
             else:
@@ -178,7 +236,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text, the main text of the whole html: blocks joined by an empty line.
 
     Character references are decoded and white space inside a block becomes one space; nothing else of a block is
-    changed. NULL, empty and text-free pages have an empty text; every row gives a row. Other columns are left out.
+    changed. Tags that never end are text. Time and memory grow with the length of the html. NULL, empty and text-free
+    pages have an empty text; every row gives a row, repeated ones too. Other columns are left out.
     """
 
     def run(batches):

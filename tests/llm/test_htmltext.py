@@ -1,4 +1,5 @@
 import re
+import time
 
 from coffer.llm import htmltext
 from coffer.llm.htmltext import main_blocks
@@ -45,3 +46,43 @@ def test_pages_give_their_article(spark):
         article = re.search(r"<article>(.*?)</article>", html[r["page_id"]], re.S)[1]
         plain = re.sub(r"\s+", "", htmltext.unescape(re.sub(r"<[^>]*>", "", article)))
         assert re.sub(r"\s+", "", r["text"]) == plain
+
+
+def test_legal_pages_lose_nothing():
+    body = f"<article><p>{PROSE}</p><p>Second.</p></article>"
+    plain = [PROSE.strip(), "Second."]
+    assert main_blocks(f"<html><head><title>T</title><meta charset=x><body>{body}") == plain
+    assert main_blocks(f"<svg/>{body}") == plain and main_blocks(f"<svg class=x />{body}<svg>{body}") == plain * 2
+    for name in ("container responsive", "has-sidebar", "no-header row", "main-content", "sidebar-wrap"):
+        assert main_blocks(f'<div class="{name}">{body}</div>') == plain
+    assert main_blocks(f"<article><p title=it's>{PROSE}</p><p>It's here.</p></article>") == [PROSE.strip(), "It's here."]
+    table = f'<article><p>{PROSE}</p><div class="table-responsive"><table><tr><td>One</td><td>Two</td></tr></table></div></article>'
+    assert main_blocks(table) == [PROSE.strip(), "One", "Two"]
+    assert main_blocks(f'<article><p>{PROSE}</p><p><a href="x">All of this is a link, in the text</a></p></article>')[1:] == ["All of this is a link, in the text"]
+    assert main_blocks("<h1>Menu of the day</h1><p>Soup.</p><p>Bread.</p>") == ["Menu of the day", "Soup.", "Bread."]
+    polish = "Dawno temu w odległym lesie mieszkała stara kobieta, która codziennie zbierała grzyby oraz jagody dla dzieci. "
+    assert main_blocks(f"<div><a href=1>Start</a></div><p>{polish}</p><p>{polish * 2}</p><p>Koniec</p>")[:2] == [polish.strip(), (polish * 2).strip()]
+    comments = f'<section id="comments"><article class="comment"><p>{PROSE}</p></article></section>'
+    assert main_blocks(body + comments) == plain
+    assert main_blocks('<p>1 <b and more') == ["1 <b and more"]
+
+
+def test_hostile_pages_take_linear_time():
+    started = time.time()
+    for piece in ("<a '", '<a b=">"', '<a b="', "<svg>", "<", "</", "<!", "<a =", "<p title=it's>", "<div class='x", "&amp", "<script", "<title"):
+        main_blocks(piece * 60_000)
+        main_blocks(piece * 60_000 + ">")
+    assert time.time() - started < 30
+
+
+def test_pages_without_article_element(spark):
+    """The same pages with plain elements: all of the article is found, and next to nothing else."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    missed = more = whole = 0
+    for r in pages:
+        article = "\n\n".join(main_blocks(r["html"])).split("\n\n")
+        found = main_blocks(re.sub(r"<(/?)article\b", r"<\1div", r["html"]))
+        missed += sum(len(b) for b in article if b not in found)
+        more += sum(len(b) for b in found if b not in article)
+        whole += sum(map(len, article))
+    assert missed <= 0.01 * whole and more <= 0.02 * whole
