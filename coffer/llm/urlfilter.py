@@ -45,23 +45,24 @@ def parsed(table: DataFrame, url: str, names: tuple[str, str, str] = ("host", "p
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """Rules (verdict, host, path) as a table; one of each host and path."""
+    """Rules (verdict, host, path) as a table. Of contrary rules for one host and path, the one that allows holds."""
     return spark.createDataFrame(rules, "rule_verdict string, rule_host string, rule_path string")
 
 
 def rule_of(sites: DataFrame, rules: DataFrame) -> DataFrame:
-    """host, path, rule and rule_verdict of the sites that some rule fits; the longest rule wins.
+    """host, path, rule and rule_verdict of the sites that some rule fits; the longest rule wins, then one that allows.
 
-    A host meets the rules through its own name and each parent domain, an equality join, however long the list is.
+    A host meets the rules through its own name and its parent domains, an equality join, however long the list is.
+    No rule fits a domain of more labels than its own host has, so a host of very many labels has few parents to meet.
     """
-    named = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(named)), lambda i: F.array_join(F.slice(named, i, F.size(named)), "."))
+    labels = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0] or 1
+    parents = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in range(1, labels + 1)]))
     met = sites.select("host", "path", F.explode(parents).alias("domain")).join(rules, F.col("domain") == F.col("rule_host"))
     rule = F.concat("rule_host", "rule_path")
     return (
         met.where(F.expr("startswith(path, rule_path)"))
         .groupBy("host", "path")
-        .agg(F.max(F.struct(F.char_length(rule), rule.alias("rule"), "rule_verdict")).alias("best"))
+        .agg(F.max(F.struct(F.char_length(rule), F.col("rule_verdict") == "allow", rule.alias("rule"), "rule_verdict")).alias("best"))
         .select("host", "path", "best.rule", "best.rule_verdict")
     )
 

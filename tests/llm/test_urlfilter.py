@@ -1,3 +1,5 @@
+import time
+
 from coffer.llm import urlfilter
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "bad.org", "/x/")]
@@ -72,3 +74,14 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, "http://a.net/", "", "")] * 3, SCHEMA)
     assert urlfilter.judged(df, rules).count() == 3
     assert urlfilter.judged(df.limit(0), rules).count() == 0
+
+
+def test_contrary_rules_and_very_long_hosts(spark):
+    rules = urlfilter.rule_table(spark, [("allow", "a.net", "/x/"), ("block", "a.net", "/x/"), ("block", "net", "/")])
+    long = "http://" + "l." * 100_000 + "a.net/x/" + "p/" * 1000
+    pages = [(None, "http://b.a.net/x/1", ""), (1, "http://a.net/y", ""), (2, long, ""), (3, "http://" + "x" * 300_000, None)]
+    df = spark.createDataFrame([(i, u, h, "") for i, u, h in pages], SCHEMA)
+    started = time.time()
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urlfilter.judged(df, rules).collect()}
+    assert got == {None: ("a.net/x/", "allow"), 1: ("net/", "block"), 2: ("a.net/x/", "allow"), 3: (None, "allow")}
+    assert time.time() - started < 60
