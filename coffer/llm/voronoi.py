@@ -7,12 +7,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coffer.llm.shared import Scratch
+from coffer.llm.shared import Scratch, perhaps_in, ship
 
 #: Rows sampled as pivots; a bound on what the driver and every executor hold.
 PIVOTS = 64
 #: Vectors of a packed block at most.
 BLOCK = 1024
+#: Blocks of a cell that stay together when it is dealt out over tasks.
+TOGETHER = 16
 #: Queries whose best candidates a task holds before it hands them on.
 HELD = 100_000
 BLOCKS = "cell int, block string, n int, radius double, worst double, dim int, ids binary, matrix binary"
@@ -179,19 +181,35 @@ def _best(k: int):
     return run
 
 
+def one_of_each(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows (vec_id, v) with one row for each vec_id, that of the largest vector as arrays compare.
+
+    Only ids move to find what is repeated, and only rows that may be repeated move to be told apart.
+    """
+    repeated = scratch.table(rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    marked = perhaps_in(rows, repeated, "vec_id", "_perhaps")
+    single = marked.where("_perhaps").groupBy("vec_id").agg(F.max("v").alias("v"))
+    return scratch.table(marked.where("not _perhaps").select("vec_id", "v").union(single), "single")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, pivots: int = PIVOTS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest inner products of each query with every other row.
 
-    vectors has vec_id and v (array of long), see integer_vectors(); is_query marks the queries. Ties go to the smaller
-    vec_id; a query with fewer than k other rows gets all of them; rows with the query's vec_id are its own. Shorter
-    vectors count as filled with zeros; an empty table gives an empty result.
+    vectors has vec_id and v (array of long), see integer_vectors(); is_query marks the queries by these columns. Ties go to the smaller
+    vec_id; a query with fewer than k other rows gets all of them. Rows that share a vec_id are one row (see
+    one_of_each), so no neighbour stands twice. Shorter vectors count as filled with zeros; an empty table gives an
+    empty result.
 
     Blocks of one cell are packed where they are read, so a cell that holds a third of all vectors is many blocks. Only
     blocks whose bound reaches a query group's sure k-th score are sent to it. Pivots and the cells' summaries have
     PIVOTS rows at most and are all that the driver sees.
     """
+    ship(vectors.sparkSession)
     scratch = Scratch(vectors.sparkSession, "voronoi")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "v")
+    vectors = vectors.withColumn("vec_id", F.col("vec_id").cast("long"))
+    rows = one_of_each(vectors.select("vec_id", "v"), scratch)
     chosen = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(pivots).collect()
     dim = rows.agg(F.max(F.size("v"))).first()[0] or 1
     seen = {tuple(r["v"]): r["vec_id"] for r in chosen} or {(0,): 0}
@@ -205,9 +223,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, pivots: int = PIVOTS) ->
     meetings = vectors.sparkSession.createDataFrame(
         _meetings(groups, cells, centres, k), "q_cell int, d_cell int, reach double, slope double, needed double"
     )
+    # Blocks of a cell are dealt out over parts, as many as the largest cell needs; queries go to each of them.
+    parts = -(-max((c["n"] for c in cells), default=1) // (BLOCK * TOGETHER))
     q = asked.select(F.col("cell").alias("q_cell"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q"))
-    d = data.select(F.col("cell").alias("d_cell"), "radius", F.col("ids").alias("d_ids"), F.col("matrix").alias("d"))
-    met = q.join(F.broadcast(meetings), "q_cell").join(d, "d_cell").where("reach + slope * radius >= needed")
+    part = F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part")
+    d = data.select(F.col("cell").alias("d_cell"), part, "radius", F.col("ids").alias("d_ids"), F.col("matrix").alias("d"))
+    sent = q.join(F.broadcast(meetings), "q_cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    met = sent.join(d, ["d_cell", "part"]).where("reach + slope * radius >= needed")
     found = met.select("q_ids", "q", "d_ids", "d").mapInArrow(_best(k), "query_id bigint, vec_id bigint, score bigint")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

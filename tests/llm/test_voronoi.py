@@ -42,3 +42,22 @@ def test_what_takes_part(spark):
 def test_query_matches_sql(spark):
     sf_dir, name = "/root/testdata/sf0.001", "op5_voronoi_knn"
     assert compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) == ""
+
+
+def test_repeated_rows_are_one_row(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.randrange(-9, 10) for _ in range(3)]) for i in range(80)]
+    twice = rows + rows[:30] + [(4, [-100, -100, -100]), (20, rows[20][1])]
+    df = spark.createDataFrame(twice, "vec_id long, v array<long>").repartition(3)
+    got = [tuple(r) for r in voronoi.top_k(df, F.col("vec_id") % 20 == 0, 5, 8).collect()]
+    assert sorted(got) == sorted(brute(rows, lambda q: q % 20 == 0, 5))
+
+
+def test_cells_dealt_out_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(voronoi, "TOGETHER", 1)
+    monkeypatch.setattr(voronoi, "BLOCK", 16)
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(-3, 4) for _ in range(4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(2)
+    got = voronoi.top_k(df, F.col("vec_id") % 20 == 0, 5, 2)
+    assert {tuple(r) for r in got.collect()} == brute(rows, lambda q: q % 20 == 0, 5)
