@@ -38,7 +38,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.sharded(table(spark, sf_dir, "documents"), shards=40)
+    maps = f"{Scratch(spark, 'shards').root}/maps"
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), shards=40, maps=maps)
     return placed.select(
         "doc_id",
         "size",

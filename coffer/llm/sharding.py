@@ -79,14 +79,23 @@ def rebalanced(slot_map: DataFrame, stats: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def save_map(slot_map: DataFrame, path: str) -> None:
-    """Add a version to the stored maps; earlier ones stay."""
-    slot_map.coalesce(1).write.mode("append").partitionBy("version").parquet(path)
+def save_map(slot_map: DataFrame, path: str) -> int:
+    """Store a version of the map in its own directory and return its number; other versions stay.
 
-
-def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """A stored version of the map, the newest by default."""
-    maps = spark.read.parquet(path)
+    Storing a version again, as a retry does, replaces it.
+    """
+    version = slot_map.agg(F.max("version")).first()[0]
+    slot_map.select("virtual_slot", "shard").coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    return version
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """A stored version of the map, the newest by default; None if nothing is stored under path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where) or not len(files.listStatus(where)):
+        return None
+    maps = spark.read.schema("virtual_slot int, shard int, version int").parquet(path)
     wanted = maps.agg(F.max("version")).first()[0] if version is None else version
     return maps.where(F.col("version") == wanted).select("virtual_slot", "shard", "version")
 
@@ -107,12 +116,24 @@ def shard_rows(rows: DataFrame, slot_map: DataFrame, stats: DataFrame) -> DataFr
     )
 
 
-def sharded(docs: DataFrame, shards: int, slots: int = SLOTS, slot_map: DataFrame | None = None) -> DataFrame:
+def sharded(docs: DataFrame, shards: int, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
     """Every row of docs with its shard under the rebalanced map, and its place there.
 
-    Equal rows stay separate rows; an empty table gives an empty result.
+    The newest map stored under maps is edited, the result stored there as the next version and read back; where none
+    is stored, an even map comes first, as version 0. Without maps an even map is edited and nothing stored.
+
+    Equal rows and equal texts stay separate rows: doc_id decides the slot, so equal texts of different doc_ids may go
+    to different shards, and rows that share a doc_id go to one. An empty table gives an empty result.
     """
+    spark = docs.sparkSession
     rows = with_slot(docs, slots)
     stats = slot_bytes(rows)
-    following = rebalanced(slot_map if slot_map is not None else even_map(docs.sparkSession, shards, slots), stats, shards)
+    now = load_map(spark, maps) if maps else None
+    if now is None:
+        now = even_map(spark, shards, slots)
+        if maps:
+            save_map(now, maps)
+    following = rebalanced(now, stats, shards)
+    if maps:
+        following = load_map(spark, maps, save_map(following, maps))
     return shard_rows(rows, following, stats)

@@ -2,7 +2,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from coffer.llm import sharding
+from coffer.llm import queries, sharding
 
 SCHEMA = "doc_id long, text string, shard int, virtual_slot string"
 
@@ -60,3 +60,41 @@ def test_next_version_moves_few_slots(spark, tmp_path):
     assert stayed > 256 * 0.7
     loads = [r[0] for r in two.join(stats, "virtual_slot").groupBy("shard").agg(F.sum("bytes")).select("sum(bytes)").collect()]
     assert len(loads) == 9 and max(loads) < 1.05 * min(loads)
+
+
+def test_maps_are_stored_once_and_read_back(spark, tmp_path):
+    path = str(tmp_path / "maps")
+    assert sharding.load_map(spark, path) is None
+    docs = rows(spark, 300)
+    first = {r["doc_id"]: r["shard"] for r in sharding.sharded(docs, 5, 64, path).collect()}
+    assert sharding.load_map(spark, path, 0).count() == sharding.load_map(spark, path, 1).count() == 64
+    again = sharding.load_map(spark, path)
+    assert sharding.save_map(again, str(tmp_path / "copy")) == sharding.save_map(again, str(tmp_path / "copy")) == 1
+    assert sharding.load_map(spark, str(tmp_path / "copy")).count() == 64
+    then = {r["doc_id"]: (r["shard"], r["version"]) for r in sharding.sharded(docs, 6, 64, path).collect()}
+    assert {v for _, v in then.values()} == {2} and len({s for s, _ in then.values()}) == 6
+    assert sum(first[d] == then[d][0] for d in first) > 150
+
+
+def test_long_text(spark):
+    df = spark.createDataFrame([(1, "é" * 3_000_000), (2, "x")], "doc_id long, text string")
+    assert sorted(r["size"] for r in sharding.sharded(df, shards=2).collect()) == [17, 6_000_016]
+
+
+def test_query_against_plain_counts(spark):
+    """All rows placed once, sizes and checksums of the texts, shards that differ by less than the largest rows."""
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.QUERIES["op2_sharding"](spark, sf_dir).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == {
+        d: (len(t.encode()) + 16, zlib.crc32(t.encode())) for d, t in texts.items()
+    }
+    loads, places = {}, {}
+    for r in got:
+        loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+        assert r["law"] == "bytes" and r["grown_shard"] is None and r["map_version"] == 1
+    assert set(loads) <= set(range(40)) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    mean = sum(loads.values()) / 40
+    heavy = sorted((r["size"] for r in got), reverse=True)
+    assert max(loads.values()) <= max(mean + heavy[40], heavy[0])
