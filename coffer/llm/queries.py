@@ -207,6 +207,28 @@ ORACLES: dict[str, str] = {
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, list_sort(list_distinct([md5_number_lower(array_to_string(w[i:i + 4], ' ')) for i in range(1, greatest(1, len(w) - 4) + 1)])) AS s
+            FROM words WHERE len(w) > 0
+        ), named AS (SELECT doc_id, s, md5(array_to_string(s, ' ')) AS k FROM sets
+        ), alike AS (SELECT min(doc_id) AS doc, k, any_value(s) AS s, any_value(len(s)) AS n FROM named GROUP BY k
+        ), grams AS (SELECT doc, n, unnest(s) AS g FROM alike
+        ), pairs AS (
+            SELECT a.doc AS x, b.doc AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc < b.doc AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n
+            GROUP BY a.doc, b.doc, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+        ), reached(doc, other) AS (
+            SELECT doc, doc FROM alike
+            UNION SELECT r.doc, l.y FROM reached r JOIN links l ON l.x = r.other
+        ), components AS (SELECT doc, min(other) AS least FROM reached GROUP BY doc
+        ), members AS (SELECT s.doc_id, a.n, c.least FROM named s JOIN alike a USING (k) JOIN components c USING (doc))
+        SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least, w.doc_id) AS component_id
+        FROM words w LEFT JOIN members USING (doc_id)
+    """,
     "op12_periodic_runs": r"""
         WITH rows AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,

@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+from contract import compare, connect
 
-from coffer.llm import jaccard
+from coffer.llm import jaccard, queries
 
 
 def brute(docs):
@@ -65,3 +66,8 @@ def test_sketches_never_rule_out_what_is_shared():
         pool = rng.integers(0, 1 << 63, n + m - k, dtype=np.uint64)
         x, y = pool[:n], pool[n - k :]
         assert jaccard._at_most(jaccard.sketch(x), n, jaccard.sketch(y), m) >= k
+
+
+def test_query_matches_sql(spark):
+    sf_dir, name = "/root/testdata/sf0.001", "op7_jaccard_join"
+    assert compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) == ""
