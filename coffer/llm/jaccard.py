@@ -89,9 +89,10 @@ def _summaries(batches):
 
 
 def _postings(shared):
-    """Rows (shingle, doc, n, pos) of each set's prefix: its n - ceil(3 n / 4) + 1 first shingles in the common order,
-    rare before frequent, then by hash. Linked sets share one in their prefixes. Equal sets of a task come once."""
-    out = pa.schema([("shingle", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    """Rows (shingle, doc, n, pos, prev) of each set's prefix: its n - ceil(3 n / 4) + 1 first shingles in the common
+    order, rare before frequent, then by hash; prev is the one before. Linked sets share one in their prefixes. Equal
+    sets of a task come once."""
+    out = pa.schema([("shingle", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("prev", pa.int64())])
 
     def ordered_prefix(grams: np.ndarray, known: np.ndarray, counts: np.ndarray, coarse: np.ndarray) -> np.ndarray:
         n = len(grams)
@@ -108,11 +109,13 @@ def _postings(shared):
 
     def rows(kept):
         lengths = [len(p) for _, _, p in kept]
+        shingle = np.concatenate([p for _, _, p in kept]).view(np.int64)
         columns = [
-            np.concatenate([p for _, _, p in kept]).view(np.int64),
+            shingle,
             np.repeat(np.array([d for d, _, _ in kept], np.int64), lengths),
             np.repeat(np.array([n for _, n, _ in kept], np.int32), lengths),
             np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]),
+            np.concatenate([shingle[:1], shingle[:-1]]),
         ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=out)
 
@@ -142,7 +145,7 @@ def _postings(shared):
     return run
 
 
-LISTS = "shingle bigint, block int, doc bigint, n int, pos int, c_doc bigint, c_n int, c_pos int"
+LISTS = "shingle bigint, block int, doc bigint, n int, pos int, prev bigint, c_doc bigint, c_n int, c_pos int"
 
 
 def _lists(batches):
@@ -151,8 +154,8 @@ def _lists(batches):
     Each list is cut into blocks by set size; a row names the first set of its block, the centre. What is kept between
     batches is one row and one centre, however long a list is.
     """
-    names = ["shingle", "doc", "n", "pos"]
-    out = pa.schema([("shingle", pa.int64()), ("block", pa.int32()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("c_doc", pa.int64()), ("c_n", pa.int32()), ("c_pos", pa.int32())])
+    names = ["shingle", "doc", "n", "pos", "prev"]
+    out = pa.schema([("shingle", pa.int64()), ("block", pa.int32()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("prev", pa.int64()), ("c_doc", pa.int64()), ("c_n", pa.int32()), ("c_pos", pa.int32())])
     held, followed, centre = None, False, None  # the last row, whether it goes on a list, its block's centre
 
     def emitted(rows: dict, last: bool):
@@ -172,7 +175,7 @@ def _lists(batches):
             keep[-1] = False
             held, followed = {k: rows[k][-1:] for k in names}, bool(before[-1])
             centre = {"shingle": rows["shingle"][-1], "block": block[-1]} | {k: c[k][-1] for k in names[1:]}
-        columns = [rows["shingle"], block, rows["doc"], rows["n"], rows["pos"], c["doc"], c["n"], c["pos"]]
+        columns = [rows["shingle"], block, rows["doc"], rows["n"], rows["pos"], rows["prev"], c["doc"], c["n"], c["pos"]]
         return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], schema=out)
 
     for batch in batches:
@@ -278,32 +281,45 @@ def _of_first(pairs: DataFrame, copies: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _remaining(lists: DataFrame, components: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one list that no component joins yet and that may still be linked.
+def _unsettled(lists: DataFrame, components: DataFrame) -> DataFrame:
+    """Rows of the lists that more than one component meets in, with their component and that of their block's centre.
 
-    Blocks whose sizes rule each other out never meet. Two sets whose distances to their common centre are known skip
-    each other if those differ by over 1/4, since the Jaccard distance obeys the triangle inequality.
+    A list whose sets are all in one component has nothing to add.
     """
     member = components.select(F.col("node").alias("doc"), "component")
-    rows = lists.join(member, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    whole = Window.partitionBy("shingle")
+    rows = lists.drop("component", "c_component").join(member, "doc", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "doc"))
+    whole, block = Window.partitionBy("shingle"), Window.partitionBy("shingle", "block")
     rows = rows.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)})
     rows = rows.where("low <> high").drop("low", "high")
+    of_centre = F.max(F.when(F.col("doc") == F.col("c_doc"), F.col("component"))).over(block)
+    return rows.withColumn("c_component", of_centre)
+
+
+def _remaining(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one list that no component joins yet and that may still be linked.
+
+    Blocks whose sizes rule each other out never meet. Two sets whose distances to their common centre are known skip
+    each other if those differ by over 1/4, since the Jaccard distance obeys the triangle inequality. Two sets whose
+    shingles before this one are the same meet in that one's list, so each pair is left to the lists where it begins.
+    """
     distance = (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("_far")
     ends = [F.col("a").alias("c_doc"), F.col("b").alias("doc")], [F.col("b").alias("c_doc"), F.col("a").alias("doc")]
     distances = known.select(*ends[0], distance).union(known.select(*ends[1], distance))
     rows = rows.join(distances, ["c_doc", "doc"], "left")
     rows = rows.withColumn("far", F.when(F.col("c_doc") == F.col("doc"), 0.0).otherwise(F.col("_far"))).drop("_far")
-    names = ["doc", "n", "pos", "component", "c_doc", "far"]
+    names = ["doc", "n", "pos", "prev", "component", "c_doc", "far"]
     small = rows.select("shingle", "block", *[F.col(c).alias(f"{c}_1") for c in names])
     large = rows.select(
         "shingle", F.explode(F.array("block", F.col("block") - 1)).alias("block"), *[F.col(c).alias(f"{c}_2") for c in names]
     )
     apart = (F.col("c_doc_1") == F.col("c_doc_2")) & (F.abs(F.col("far_1") - F.col("far_2")) > 1 - NUMERATOR / DENOMINATOR + 1e-9)
+    met_before = (F.col("prev_1") == F.col("prev_2")) & (F.col("pos_1") > 0) & (F.col("pos_2") > 0)
     met = small.join(large, ["shingle", "block"]).where(
         ((F.col("n_1") < F.col("n_2")) | ((F.col("n_1") == F.col("n_2")) & (F.col("doc_1") < F.col("doc_2"))))
         & (F.col("component_1") != F.col("component_2"))
         & _possible("n_1", "pos_1", "n_2", "pos_2")
+        & ~met_before
         & ~F.coalesce(apart, F.lit(False))
     )
     return met.select(F.col("doc_1").alias("a"), F.col("doc_2").alias("b")).distinct()
@@ -331,7 +347,7 @@ def _known_counts(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _ordered_lists(spark: SparkSession, docs: DataFrame, summaries: DataFrame) -> DataFrame:
     known = spark.sparkContext.broadcast(_known_counts(summaries))
-    prefix = docs.select("doc", "text").mapInArrow(_postings(known), "shingle bigint, doc bigint, n int, pos int")
+    prefix = docs.select("doc", "text").mapInArrow(_postings(known), "shingle bigint, doc bigint, n int, pos int, prev bigint")
     return prefix.repartition("shingle").sortWithinPartitions("shingle", "n", "doc").mapInArrow(_lists, LISTS)
 
 
@@ -343,9 +359,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links. Shingles are held as 64-bit hashes. Every row gives a row; rows that share a doc_id are one node; rows
     without doc_id are not linked and have no component. Other columns are left out.
 
-    Equal sets first become one class. Sets meet in lists of a shared prefix shingle. Round one compares each list's
-    members with their block's centre only, and what is near it inherits its component; round two compares the pairs
-    that are in different components and that neither sizes, places nor known distances rule out.
+    Equal sets first become one class. Sets meet in lists of a shared prefix shingle. Round one compares each set with
+    one centre of its lists, round two with the centres of lists that hold several components still; what is near a
+    centre inherits its component. Round three compares the pairs that are in different components and that neither
+    sizes, places, known distances nor an earlier list rules out.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -360,16 +377,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     needed = lists.select("doc").distinct().union(copies.select("first").distinct())
     sketches = scratch.table(_sets(docs, needed, False), "sketches")
 
+    def star_pairs(stars):
+        return _of_first(stars.select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct(), copies)
+
+    def grown(components, near):
+        """Components once the links of near are added."""
+        joined = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return scratch.table(connected_components(joined.union(near.where(LINKED).select("a", "b")), scratch), "components")
+
+    # Each set meets one centre first. That joins most of a group of near copies, whose lists are then settled.
     stars = lists.where("c_doc <> doc").where(_possible("c_n", "c_pos", "n", "pos"))
-    stars = _of_first(stars.select(F.col("c_doc").alias("a"), F.col("doc").alias("b")).distinct(), copies)
-    near = scratch.table(_verified(docs, stars, sketches, scratch), "near")
-    links = near.where(LINKED).select("a", "b").union(copies.select("doc", "first"))
+    first_near = scratch.table(_verified(docs, star_pairs(stars.groupBy("doc").agg(F.min("c_doc").alias("c_doc"))), sketches, scratch), "near")
+    links = first_near.where(LINKED).select("a", "b").union(copies.select("doc", "first"))
     components = scratch.table(connected_components(links, scratch), "components")
 
-    rest = _of_first(_remaining(lists, components, near), copies)
-    rest = _verified(docs, rest, sketches, scratch).where(LINKED).select("a", "b")
-    joined = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    components = connected_components(joined.union(rest), scratch)
+    # Then sets meet the other centres of lists that are not settled, and at last one another.
+    rows = scratch.table(_unsettled(lists, components), "unsettled")
+    stars = rows.where("c_doc <> doc and component <> c_component").where(_possible("c_n", "c_pos", "n", "pos"))
+    near = scratch.table(_verified(docs, star_pairs(stars), sketches, scratch), "near")
+    components = grown(components, near)
+
+    rows = scratch.table(_unsettled(rows, components), "unsettled")
+    rest = _of_first(_remaining(rows, first_near.union(near)), copies)
+    components = grown(components, _verified(docs, rest, sketches, scratch))
     return nodes.join(components, F.col("doc") == F.col("node"), "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
