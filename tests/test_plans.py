@@ -100,3 +100,21 @@ def test_money_is_aggregated_before_the_account_join(ledger):
     generate = next(i for i, s in enumerate(lines_) if "Generate explode" in s)
     between = "\n".join(lines_[join:generate])
     assert between.count("HashAggregate") == 2
+
+
+@pytest.mark.parametrize("mode", ["intended", "literal"])
+def test_refresh_computes_and_moves_its_facts_once(ledger, spark, mode):
+    previous = blend(pnl_rows(ledger, ("purchases",)), no_budget(spark))
+    facts = pnl_rows(ledger, ("deposits",))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(blend_refresh(previous, facts, no_budget(spark), empty_comments(spark), mode))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One parse of the deposits, and one of the purchases that the previous version is made of here.
+    assert shown.count("from_json(ArrayType(StructType") == 2
+    assert shown.count("FullOuter") == 1
+    if mode == "intended":
+        # The facts' sums and the previous rows are dealt out by the grain, and so they are joined.
+        assert len(re.findall(r"Exchange hashpartitioning\((?:old_grain|grain|_groupingexpression)#", shown)) == 2
+        assert "collect_set" not in shown
