@@ -8,9 +8,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,8 +20,10 @@ SHARD_IDS = 1 << 21
 #: Bits between two stored ranks.
 BLOCK = 512
 MAGIC = b"WVM1"
-#: Chunks, and pieces of chunks, kept with their ids before the memory is emptied; some 200 bytes each.
-MEMORY = 400_000
+#: Chunks kept with their ids; some 200 bytes each.
+MEMORY = 1_000_000
+#: New chunks that go to the library as one text.
+JOINED = 1 << 13
 #: White space besides the single space and the line feed.
 OTHER_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A single space between characters that are no white space: no merge crosses it.
@@ -144,54 +144,75 @@ def chunks(text: str) -> list[str]:
     return text.split(" ")
 
 
+class _Memory:
+    """Chunks with their ids. What was not used since the memory was last full is forgotten when it is full again."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def unknown(self, chunks: set[str]) -> list[str]:
+        """The chunks that have to be learnt; those known from before are taken along."""
+        if len(self.now) > MEMORY // 2:
+            self.now, self.before = {}, self.now
+        rest = chunks.difference(self.now)
+        old = {c: self.before[c] for c in rest if c in self.before}
+        self.now.update(old)
+        return list(rest.difference(old))
+
+
 class Encoder:
-    """ids of whole texts by the tokenizers library, which is asked once for each different piece.
+    """ids of whole texts by the tokenizers library, which is asked once for each different chunk.
 
     A text is cut at single spaces between other characters; there, no piece of byte-level BPE goes across, so the
-    chunks' ids in a row are the text's. A new chunk is cut by the tokenizer's pattern, and new pieces go to the
-    library together. Texts that hold the string of an added token are encoded whole.
+    chunks' ids in a row are the text's. New chunks go to the library as one long text, whose ids are told apart by the
+    bytes they stand for; if ever one crossed a cut, the chunks would be encoded one by one. Texts that hold the string
+    of an added token are encoded whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.after_space: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, texts: list[str]) -> list[bytes]:
-        """ids of chunks that were not met before."""
-        cut = [self.pattern.findall(text) for text in texts]
-        if len(self.pieces) > MEMORY:
-            self.pieces.clear()
-        fresh = list(set().union(*cut).difference(self.pieces)) if cut else []
-        for piece, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.pieces.__getitem__, c)) for c in cut]
-
-    def _known(self, parts: list[str]) -> bytes | None:
-        """ids of the chunks after the first, if none of them is new."""
-        try:
-            return b"".join(map(self.after_space.__getitem__, parts[1:]))
-        except KeyError:
-            return None
+        # Byte-level tokens are written with one character a byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.after_space, self.at_start = _Memory(), _Memory()
+
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """ids of texts that each start with a space and hold no white space at either end besides."""
+        whole = "".join(texts)
+        ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, "<u4")
+        sizes = map(len, texts) if whole.isascii() else [len(text.encode()) for text in texts]
+        ends = np.cumsum(np.fromiter(sizes, np.int64, len(texts)))
+        ids_end = np.cumsum(self.sizes[np.minimum(ids, len(self.sizes) - 1)])
+        upto = np.searchsorted(ids_end, ends)
+        if not len(ids) or upto[-1] != len(ids) - 1 or not np.array_equal(ids_end[upto], ends):
+            return self._one_by_one(texts)
+        raw, cuts = ids.tobytes(), (4 * (upto + 1)).tolist()
+        return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [None if any(a in text for a in self.added) else chunks(text) for text in texts]
-        if len(self.after_space) > MEMORY:
-            self.after_space.clear()
         usual = [p for p in parts if p]
-        # Most texts have known chunks only, so they are looked up at once; the others' new chunks are learnt together.
-        tails = [self._known(p) for p in usual]
-        later = [p for p, tail in zip(usual, tails, strict=True) if tail is None]
-        if later:
-            fresh = list(set().union(*[p[1:] for p in later]).difference(self.after_space))
-            self.after_space.update(zip(fresh, self._learn([" " + c for c in fresh]), strict=True))
-            tails = [self._known(p) if tail is None else tail for p, tail in zip(usual, tails, strict=True)]
-        rest = iter(tails)
-        begun = iter(self._learn([p[0] for p in usual]))
+        # Only a text's last chunk can end in white space; such a one must not stand before another.
+        needed = set().union(*[p[1:] for p in usual])
+        odd = {p[-1] for p in usual if p[-1][-1:].isspace()}
+        fresh = self.after_space.unknown(needed)
+        plain = [c for c in fresh if c not in odd]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            self.after_space.now.update(zip(some, self._joined([" " + c for c in some]), strict=True))
+        last = [c for c in fresh if c in odd]
+        self.after_space.now.update(zip(last, self._one_by_one([" " + c for c in last]), strict=True))
+        first = self.at_start.unknown({p[0] for p in usual})
+        self.at_start.now.update(zip(first, self._one_by_one(first), strict=True))
+        known, begun = self.after_space.now.__getitem__, self.at_start.now.__getitem__
         return [
-            next(begun) + next(rest)
+            begun(p[0]) + b"".join(map(known, p[1:]))
             if p
             else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             for text, p in zip(texts, parts, strict=True)
