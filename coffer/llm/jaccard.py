@@ -385,9 +385,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         joined = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         return scratch.table(connected_components(joined.union(near.where(LINKED).select("a", "b")), scratch), "components")
 
-    # Each set meets one centre first. That joins most of a group of near copies, whose lists are then settled.
+    # Each set meets first the one centre that it shares most lists with. That joins most of a group of near copies,
+    # whose lists are then settled.
     stars = lists.where("c_doc <> doc").where(_possible("c_n", "c_pos", "n", "pos"))
-    first_near = scratch.table(_verified(docs, star_pairs(stars.groupBy("doc").agg(F.min("c_doc").alias("c_doc"))), sketches, scratch), "near")
+    shared = stars.groupBy("doc", "c_doc").agg(F.count(F.lit(1)).alias("lists"))
+    closest = shared.groupBy("doc").agg(F.max(F.struct("lists", (-F.col("c_doc")).alias("c"))).alias("best"))
+    closest = closest.select("doc", (-F.col("best.c")).alias("c_doc"))
+    first_near = scratch.table(_verified(docs, star_pairs(closest), sketches, scratch), "near")
     links = first_near.where(LINKED).select("a", "b").union(copies.select("doc", "first"))
     components = scratch.table(connected_components(links, scratch), "components")
 
