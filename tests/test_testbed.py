@@ -1,7 +1,9 @@
 """The derived ledger and its queries, on rows of their own."""
 
+import json
 from datetime import datetime
 
+from testbed.derive import documents
 from testbed.queries import QUERIES
 
 DAY = datetime(1998, 3, 4)
@@ -36,3 +38,20 @@ def test_a_scan_reads_every_line(spark, tmp_path):
     assert rows[("invoices", "client_1")] == 1
     assert rows[("sales_receipts", "client_0")] == 2
     assert rows[("payments", "client_1")] == 2
+
+
+def test_documents_are_dealt_out_by_order_alone(spark, tmp_path):
+    """Lines move by part and by order, never as the text of their documents."""
+    orders = [(0, 5, "F", DAY), (0, 5, "F", DAY), (2, 5, "F", DAY)]
+    lines = [(0, 2, 2, 2.0, "N"), (0, 1, 1, 1.0, "N"), (2, 3, 1, 4.0, "R")]
+    sf_dir = tables(spark, tmp_path, orders, lines, PARTS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = documents(spark, sf_dir)
+        shown = frame._jdf.queryExecution().executedPlan().toString()
+        rows = {r.Id: [x["Amount"] for x in json.loads(r.Line)] for r in frame.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning(table" not in shown
+    # An order that comes twice has each line twice, then the subtotal and the note.
+    assert rows == {"0": [1.0, 1.0, 2.0, 2.0, 6.0, None], "2": [4.0, 4.0, None]}
