@@ -155,3 +155,23 @@ def test_existence_and_views(spark, tmp_path):
     assert not table_exists(spark, "no_such_view")
     assert register_views({"seen": frame(spark)}, prefix="test_") == ["test_seen"]
     assert table_exists(spark, "test_seen")
+
+
+def test_rows_of_few_clients_are_not_dealt_out_again(spark, tmp_path, monkeypatch):
+    from coffer.sinks import snapshots
+
+    plans, write = [], snapshots._write_rows
+
+    def watched(df, path, partition_by):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, path, partition_by)
+
+    monkeypatch.setattr(snapshots, "_write_rows", watched)
+    df = spark.createDataFrame([(f"c{i}", i) for i in range(20)], "client string, n int")
+    clients = [f"c{i}" for i in range(20)]
+    snapshots.write_clients(df.filter("n < 2"), str(tmp_path / "t"), clients[:2])
+    snapshots.write_clients(df, str(tmp_path / "t"), clients)
+    snapshots.write_snapshot(df, str(tmp_path / "u"), even=False)
+    assert ["RebalancePartitions" in p for p in plans] == [False, True, False]
+    assert snapshots.read_snapshot(spark, str(tmp_path / "t")).count() == 20
+    assert snapshots.read_snapshot(spark, str(tmp_path / "u")).count() == 20
