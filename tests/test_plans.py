@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from books import DAY, RAW, account, deposit, expense, lines, no_budget, paid, ref, sale
 from coffer.operators.blend import blend, blend_refresh
-from coffer.operators.comments import empty_comments, with_comments
+from coffer.operators.comments import empty_comments, latest_comment, with_comments
 from coffer.operators.pnl import JOURNAL_TYPES, pnl_rows, profit_and_loss
 from coffer.operators.profit import profit
 from coffer.sources.ledger import Ledger
@@ -118,3 +118,22 @@ def test_refresh_computes_and_moves_its_facts_once(ledger, spark, mode):
         # The facts' sums and the previous rows are dealt out by the grain, and so they are joined.
         assert len(re.findall(r"Exchange hashpartitioning\((?:old_grain|grain|_groupingexpression)#", shown)) == 2
         assert "collect_set" not in shown
+
+
+def test_literal_refresh_deals_out_facts_without_an_entry(ledger, spark):
+    """All of them have no entry id: as one key they would be one task's work."""
+    facts = pnl_rows(ledger, ("deposits",))
+    previous = blend(pnl_rows(ledger, ("purchases",)), no_budget(spark))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = plan(blend_refresh(previous, facts, no_budget(spark), empty_comments(spark), "literal"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"Exchange hashpartitioning\(client#\d+, entry_key#", shown)
+
+
+def test_latest_comment_sorts_no_facts(ledger, spark):
+    facts = blend(pnl_rows(ledger), no_budget(spark))
+    shown = plan(latest_comment(facts, empty_comments(spark)))
+    grouped = [line for line in shown.splitlines() if "SortAggregate" in line]
+    assert grouped and all("commented" in line or "entry_id" in line for line in grouped)
