@@ -21,7 +21,7 @@ KNOWN_COUNTS = 1 << 20
 #: Shingles counted together in a task.
 COUNTED = 1 << 21
 #: Rows that a task hands on at a time.
-HANDED = 1 << 19
+HANDED = 1 << 17
 #: Sizes of linked sets differ by a factor of 4 / 3 at most, so by one block at most.
 BLOCK_LOG = math.log(DENOMINATOR / NUMERATOR) * 1.0001
 
@@ -245,12 +245,13 @@ def _shared(batches):
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int32()), ("n_a", pa.int32()), ("n_b", pa.int32())])
     for batch in batches:
         rows = []
-        for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            rows.append((a, b, int((large[at] == small).sum()), len(x), len(y)))
+        for at in range(0, batch.num_rows, 256):
+            for a, b, x, y in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                place = np.searchsorted(large, small)
+                place[place == len(large)] = 0
+                rows.append((a, b, int((large[place] == small).sum()), len(x), len(y)))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
 

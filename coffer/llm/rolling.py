@@ -10,7 +10,7 @@ U = np.uint64
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
 #: Bytes hashed at a time; bounds the working memory to some 60 bytes each.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
