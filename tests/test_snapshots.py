@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from books import rows
 from coffer.sinks.snapshots import (
+    CLEANUP,
     MARKER,
     append_snapshot,
     compact_snapshot,
@@ -175,3 +178,22 @@ def test_rows_of_few_clients_are_not_dealt_out_again(spark, tmp_path, monkeypatc
     assert ["RebalancePartitions" in p for p in plans] == [False, True, False]
     assert snapshots.read_snapshot(spark, str(tmp_path / "t")).count() == 20
     assert snapshots.read_snapshot(spark, str(tmp_path / "u")).count() == 20
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """What its job shuffled goes once the table is there, and the session's setting is as before."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        return {n for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())
+                if (n := f.getName()).startswith("shuffle_")}
+
+    setting = spark.conf.get(CLEANUP, None)
+    before = kept()
+    write_snapshot(spark.range(1000).selectExpr("'c' AS client", "id % 7 AS k").groupBy("client", "k").count(), f"{tmp_path}/t")
+    until = time.time() + 20
+    while kept() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not kept() - before
+    assert spark.conf.get(CLEANUP, None) == setting
+    assert read_snapshot(spark, f"{tmp_path}/t").count() == 7
