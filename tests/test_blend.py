@@ -124,3 +124,18 @@ def test_unknown_mode(spark):
     facts = pnl(spark, ("p", "a", None, 1.0))
     with pytest.raises(ValueError):
         blend_refresh(blend(facts, no_budget(spark)), facts, no_budget(spark), empty_comments(spark), "other")
+
+
+@pytest.mark.parametrize("mode", ["intended"])
+def test_ids_of_any_kind_are_carried(spark, mode):
+    """Hashes of the own grain move as a mark; hashes of another one, other ids and none as they are."""
+    nothing = no_budget(spark)
+    facts = pnl(spark, ("p", "own", None, 1.0), ("p", "foreign", "x", 2.0), ("p", "swapped", None, 3.0), ("p", "none", None, 4.0))
+    first = settled(blend(facts, nothing))
+    own, swapped = id_of(first, "own"), id_of(first, "none")
+    sub = F.col("sub_account")
+    ids = F.when(sub == "own", F.col("entry_id")).when(sub == "foreign", "uuid").when(sub == "swapped", swapped[0])
+    second = settled(first.withColumn("entry_id", ids))
+    result = settled(blend_refresh(second, facts, nothing, comments_on(spark, "uuid"), mode))
+    assert id_of(result, "own") == own and id_of(result, "swapped") == swapped and id_of(result, "none") == swapped
+    assert id_of(result, "foreign") == ["uuid"] * (2 if mode == "literal" else 1)

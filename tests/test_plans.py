@@ -137,3 +137,23 @@ def test_latest_comment_sorts_no_facts(ledger, spark):
     shown = plan(latest_comment(facts, empty_comments(spark)))
     grouped = [line for line in shown.splitlines() if "SortAggregate" in line]
     assert grouped and all("commented" in line or "entry_id" in line for line in grouped)
+
+
+def unbroadcast(spark, make):
+    """The plan of a frame made where nothing is small enough to be broadcast by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(make())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_refresh_moves_no_previous_rows_for_their_comments(ledger, spark):
+    """They meet the comments after the facts, when the planner knows how few entries are commented."""
+    facts = pnl_rows(ledger, ("deposits",))
+    previous = blend(pnl_rows(ledger, ("purchases",)), no_budget(spark))
+    shown = unbroadcast(spark, lambda: blend_refresh(previous, facts, no_budget(spark), empty_comments(spark)))
+    lines_ = shown.splitlines()
+    outer = next(i for i, s in enumerate(lines_) if "FullOuter" in s)
+    # That of the comments alone; before it, one of the previous rows came beside it.
+    assert sum(bool(re.search(r"Exchange hashpartitioning\([^)]*(entry|looked)_id#", s)) for s in lines_[outer:]) == 1
