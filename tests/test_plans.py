@@ -157,3 +157,14 @@ def test_refresh_moves_no_previous_rows_for_their_comments(ledger, spark):
     outer = next(i for i, s in enumerate(lines_) if "FullOuter" in s)
     # That of the comments alone; before it, one of the previous rows came beside it.
     assert sum(bool(re.search(r"Exchange hashpartitioning\([^)]*(entry|looked)_id#", s)) for s in lines_[outer:]) == 1
+
+
+def test_literal_refresh_deals_out_both_sides_once(ledger, spark):
+    """What the facts are dealt out by for their sums serves the join."""
+    facts = pnl_rows(ledger, ("deposits",))
+    previous = blend(pnl_rows(ledger, ("purchases",)), no_budget(spark))
+    make = lambda: blend_refresh(previous, facts, no_budget(spark), empty_comments(spark), "literal")
+    shown = unbroadcast(spark, make)
+    assert len(re.findall(r"Exchange hashpartitioning\(place#", shown)) == 2
+    outer = next(s for s in shown.splitlines() if "FullOuter" in s)
+    assert re.search(r"\[place#\d+\], \[place#\d+\]", outer)
