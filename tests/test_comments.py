@@ -103,3 +103,14 @@ def test_reading_order_puts_nulls_first(facts):
 def test_unknown_mode(spark, facts):
     with pytest.raises(ValueError):
         with_comments(facts, empty_comments(spark), "other")
+
+
+def test_ids_of_any_kind_are_grouped(spark):
+    """Ids that are the hash of their grain, repeated, of another grain, from elsewhere, and none."""
+    one = blend(pnl(spark, ("p", "a", None, 1.0)), no_budget(spark)).localCheckpoint()
+    own = one.first().entry_id
+    other = blend(pnl(spark, ("p", "b", None, 1.0)), no_budget(spark)).first().entry_id
+    ids = [own, own, other, "uuid-1", "uuid-1", None]
+    several = one.withColumn("entry_id", F.explode(F.array(*[F.lit(i) for i in ids])))
+    assert group_entries(several).first().entry_ids == sorted(i for i in ids if i)
+    assert group_entries(one.withColumn("entry_id", F.lit(None).cast("string"))).first().entry_ids == []
