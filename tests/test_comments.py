@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from books import no_budget, pnl, rows
 from coffer.operators.blend import blend
 from coffer.operators.comments import (
+    _perhaps_commented,
     add_comments,
     empty_comments,
     ensure_comments,
@@ -105,6 +106,14 @@ def test_unknown_mode(spark, facts):
         with_comments(facts, empty_comments(spark), "other")
 
 
+def test_filter_keeps_every_commented_entry(spark):
+    entries = spark.range(2000).selectExpr("if(id = 7, NULL, 'c') AS client", "if(id = 8, NULL, concat('id-', id)) AS entry_id")
+    table = comments(spark, *[(str(i), f"id-{i}", "t", "u", 1) for i in (1, 2, 7, 1999)], ("n", None, "t", "u", 1))
+    kept = {r.entry_id for r in _perhaps_commented(entries, table).collect()}
+    assert {"id-1", "id-2", "id-1999"} <= kept and len(kept) < 20
+    assert _perhaps_commented(entries, empty_comments(spark)).count() == 0
+
+
 def test_ids_of_any_kind_are_grouped(spark):
     """Ids that are the hash of their grain, repeated, of another grain, from elsewhere, and none."""
     one = blend(pnl(spark, ("p", "a", None, 1.0)), no_budget(spark)).localCheckpoint()

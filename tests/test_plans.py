@@ -168,3 +168,10 @@ def test_literal_refresh_deals_out_both_sides_once(ledger, spark):
     assert len(re.findall(r"Exchange hashpartitioning\(place#", shown)) == 2
     outer = next(s for s in shown.splitlines() if "FullOuter" in s)
     assert re.search(r"\[place#\d+\], \[place#\d+\]", outer)
+
+
+def test_only_entries_that_may_have_comments_move_to_them(ledger, spark):
+    facts = blend(pnl_rows(ledger, ("deposits",)), no_budget(spark))
+    lines_ = unbroadcast(spark, lambda: latest_comment(facts, empty_comments(spark))).splitlines()
+    moved = next(i for i, s in enumerate(lines_) if re.search(r"Exchange hashpartitioning\(client#\d+, entry_id#", s))
+    assert any("BroadcastHashJoin" in s for s in lines_[moved + 1 : moved + 4])
