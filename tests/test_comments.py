@@ -123,3 +123,17 @@ def test_ids_of_any_kind_are_grouped(spark):
     several = one.withColumn("entry_id", F.explode(F.array(*[F.lit(i) for i in ids])))
     assert group_entries(several).first().entry_ids == sorted(i for i in ids if i)
     assert group_entries(one.withColumn("entry_id", F.lit(None).cast("string"))).first().entry_ids == []
+
+
+def test_literal_comments_multiply_over_classifications(spark):
+    """The literal key leaves the classification out, and matches no NULL."""
+    facts = blend(
+        pnl(spark, ("p", "a", "x", 1.0, "One", "Income"), ("p", "a", "x", 2.0, "Two", "Income"),
+            ("p", "b", None, 4.0, "One", "Income"), ("p", "b", None, 8.0, "Two", "Income")), no_budget(spark)
+    ).withColumn("entry_id", F.concat_ws("-", F.lit("id"), "sub_account", "classification"))
+    table = comments(spark, ("1", "id-a-One", "on one", "ann", 1), ("2", "id-b-One", "lost", "bob", 1))
+    shown = rows(with_comments(facts, table, "literal"), "classification", "actual", "comment_text", "entry_ids_json")
+    assert shown == [
+        ("One", 1.0, None, '["id-a-One"]'), ("One", 1.0, "on one", '["id-a-One"]'), ("One", 4.0, None, '["id-b-One"]'),
+        ("Two", 2.0, None, '["id-a-Two"]'), ("Two", 2.0, "on one", '["id-a-Two"]'), ("Two", 8.0, None, '["id-b-Two"]'),
+    ]

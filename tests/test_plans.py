@@ -170,6 +170,15 @@ def test_literal_refresh_deals_out_both_sides_once(ledger, spark):
     assert re.search(r"\[place#\d+\], \[place#\d+\]", outer)
 
 
+def test_literal_comments_deal_out_facts_once(ledger, spark):
+    facts = blend(pnl_rows(ledger, ("deposits",)), no_budget(spark))
+    shown = unbroadcast(spark, lambda: with_comments(facts, empty_comments(spark), "literal"))
+    by_key = re.findall(r"Exchange hashpartitioning\(client#\d+, txnDate#\d+, parent_account#[^)]*\), REPARTITION_BY_COL", shown)
+    assert len(by_key) == 1
+    # Above it nothing is dealt out again.
+    assert "Exchange" not in shown.split(by_key[0])[0]
+
+
 def test_only_entries_that_may_have_comments_move_to_them(ledger, spark):
     facts = blend(pnl_rows(ledger, ("deposits",)), no_budget(spark))
     lines_ = unbroadcast(spark, lambda: latest_comment(facts, empty_comments(spark))).splitlines()
